@@ -11,6 +11,8 @@ from .bpe import bpe_round_trip, tokenizer_file
 from .host_reputation import UrlRule, judge_hosts
 from .repetition import judge_repetition
 from .shard_shuffle import shuffle_into_shards
+from .simhash import simhash_groups
+from .window_dedup import remove_repeated_windows
 
 #: The production rules for urls.
 URL_RULES = (UrlRule("block", "net", "/"), UrlRule("allow", "example.net", "/en/"), UrlRule("block", "example.com", "/de/"), UrlRule("allow", "org", "/fr/"))
@@ -117,11 +119,32 @@ SELECT q.page_id, q.host, q.path, fit.rule, coalesce(fit.verdict, CASE WHEN hu.u
 FROM q LEFT JOIN hu USING (host) LEFT JOIN fit ON fit.host = q.host AND fit.path = q.path
 """
 
+def op6_simhash_vantage_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=2)
+
+
+def op8_sketched_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_windows(docs, width=20, carry=["doc_id"], digests=True)
+
+
+OP8_SQL = rf"""
+WITH w AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i, array_to_string(ws[i:i+19], ' ') AS seq FROM w),
+again AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM again) GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE [x FOR x, i IN ws IF NOT list_contains(ps, i)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
     "op4_host_reputation": op4_host_reputation,
+    "op6_simhash_vantage_tree": op6_simhash_vantage_tree,
     "op7_speculative_bpe": op7_speculative_bpe,
+    "op8_sketched_window_dedup": op8_sketched_window_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_suffix_repetition": OP1_SQL, "op4_host_reputation": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_suffix_repetition": OP1_SQL, "op4_host_reputation": OP4_SQL, "op8_sketched_window_dedup": OP8_SQL}
