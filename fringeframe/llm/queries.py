@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom_lm import score_documents
 from .bpe import bpe_round_trip, tokenizer_file
+from .decontaminate import find_benchmark_passages
 from .host_reputation import UrlRule, judge_hosts
 from .repetition import judge_repetition
 from .shard_shuffle import shuffle_into_shards
@@ -138,6 +140,16 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_r
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
+def op9_log_frequency_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out, learn = learnable(5, 1)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return score_documents(docs, ~F.col("held_out"), carry=["doc_id", "held_out"])
+
+
+def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_benchmark_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
@@ -145,6 +157,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_vantage_tree": op6_simhash_vantage_tree,
     "op7_speculative_bpe": op7_speculative_bpe,
     "op8_sketched_window_dedup": op8_sketched_window_dedup,
+    "op9_log_frequency_lm": op9_log_frequency_lm,
+    "op10_qgram_decontamination": op10_qgram_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_suffix_repetition": OP1_SQL, "op4_host_reputation": OP4_SQL, "op8_sketched_window_dedup": OP8_SQL}
