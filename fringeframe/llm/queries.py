@@ -11,9 +11,11 @@ from .bloom_lm import score_documents
 from .bpe import bpe_round_trip, tokenizer_file
 from .decontaminate import find_benchmark_passages
 from .host_reputation import UrlRule, judge_hosts
+from .pu_quality import score_quality
 from .repetition import judge_repetition
 from .shard_shuffle import shuffle_into_shards
 from .simhash import simhash_groups
+from .toxic_neighbours import score_toxicity
 from .window_dedup import remove_repeated_windows
 
 #: The production rules for urls.
@@ -150,10 +152,25 @@ def op10_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_neighbour_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out, learn = learnable(3, 1)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), learn, carry=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", "predicted", F.col("neighbours.doc_id").alias("evidence"))
+
+
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out, learn = learnable(5, 0)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), learn, carry=["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repetition": op1_suffix_repetition,
     "op2_hypergeometric_shuffle": op2_hypergeometric_shuffle,
+    "op3_neighbour_toxicity": op3_neighbour_toxicity,
     "op4_host_reputation": op4_host_reputation,
+    "op5_pu_quality": op5_pu_quality,
     "op6_simhash_vantage_tree": op6_simhash_vantage_tree,
     "op7_speculative_bpe": op7_speculative_bpe,
     "op8_sketched_window_dedup": op8_sketched_window_dedup,
