@@ -137,7 +137,10 @@ class _GammaReader(DataSourceReader):
 
 
 class GammaSource(DataSource):
-    """``spark.read.format("gamma")`` with options path, lines, width, kind, rows."""
+    """``spark.read.format("gamma")`` with options path, lines, width, kind, rows.
+
+    Needs ``spark.sql.python.filterPushdown.enabled``, for its filters on rows are seeks.
+    """
 
     @classmethod
     def name(cls) -> str:
