@@ -44,6 +44,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.lower, self.odd, self.odd_pattern = dict(_SIGMA), None, None
         self.letters = {chr(b): c for b, c in _byte_letters().items()}
         self.translation = str.maketrans(self.letters)
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
@@ -167,13 +168,38 @@ class WordBpe:
                 out[k] = self.merge([self.vocab[u] for u in units])
         return out
 
+    def follow_library(self, path: str) -> None:
+        """Takes over the library's view of letters that only the newest Unicode tables know.
+
+        Its tables and those of ``regex`` may differ in age; only code points that Python's own tables do not
+        know yet can be told apart, and those are asked of the library once, on the driver.
+        """
+        try:
+            from tokenizers import Tokenizer
+        except ImportError:
+            return
+        library, odd = Tokenizer.from_file(path), []
+        newest = [c for m in regex.finditer(r"[\p{L}\p{N}]+", "".join(map(chr, [*range(128, 0xD800), *range(0xE000, 0x110000)]))) for c in m[0] if unicodedata.category(c) == "Cn"]
+        for c in newest:
+            if len(library.pre_tokenizer.pre_tokenize_str(f"a{c}a")) != len(self.pattern.findall(f"a{c}a")):
+                odd.append(c)
+            if (low := library.normalizer.normalize_str(c)) != c.lower():
+                self.lower[ord(c)] = low
+        if odd:
+            self.odd = regex.compile(f"[{''.join(odd)}]")
+            self.odd_pattern = regex.compile(self.pattern.pattern.replace(r"\p{L}", f"[\\p{{L}}--[{''.join(odd)}]]"), regex.V1)
+
+    def _split(self, text: str) -> list[str]:
+        text = unicodedata.normalize("NFC", text).translate(self.lower).lower()
+        return (self.odd_pattern if self.odd is not None and self.odd.search(text) else self.pattern).findall(text)
+
     def words(self, chunk: str) -> list[str]:
         """Words of a chunk without blanks, after normalisation; a special token's string stays one item."""
         if chunk.isascii() and not any(s in chunk for s in self.special):
             return self.pattern.findall(chunk.lower())
         out = []
         for k, part in enumerate(self.special_split.split(chunk) if self.special_split else [chunk]):
-            out += [part] if k % 2 else self.pattern.findall(unicodedata.normalize("NFC", part).translate(_SIGMA).lower())
+            out += [part] if k % 2 else self._split(part)
         return out
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
@@ -187,7 +213,9 @@ class WordBpe:
 def load_word_bpe(path: str) -> WordBpe:
     """The model of a tokenizers JSON file, read on the driver."""
     with open(path, encoding="utf-8") as f:
-        return WordBpe(json.load(f))
+        model = WordBpe(json.load(f))
+    model.follow_library(path)
+    return model
 
 
 _ENCODED = ["n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"]

@@ -20,21 +20,24 @@ from pyspark.sql.pandas.types import to_arrow_type
 from . import textscan as ts
 
 _SPREAD_BITS = 23
+#: Lower case of the basic plane's characters, where it is one character.
+_LOWER = np.array([ord(low) if len(low := chr(c).lower()) == 1 else c for c in range(1 << 16)], np.uint32)
 _NO_ITEM, _NO_DOC = np.uint32(0xFFFFFFFF), np.uint32(0xFFFFFFFE)
 
 
 def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of texts with A-Z lower-cased and each run of blanks made one space, and their offsets."""
+    """Code points of texts, lower-cased one by one, each run of blanks made one space; and their offsets."""
     blank = ts.BLANKS[data]
     keep = np.ones(len(data), bool)
     if len(data):
         cut = np.zeros(len(data) + 1, bool)
         cut[offsets] = True
         keep[1:] = ~(blank[1:] & blank[:-1] & ~cut[1 : len(data)])
-    low = np.where(blank, np.uint8(32), ts.LOWER[data])[keep]
+    kept = np.where(blank, np.uint8(32), data)[keep]
     lead = np.zeros(len(data) + 1, np.int64)
     np.cumsum(keep & ((data & 0xC0) != 0x80), out=lead[1:])
-    return np.frombuffer(low.tobytes().decode("utf-8").encode("utf-32-le"), "<u4"), lead[offsets]
+    chars = np.frombuffer(kept.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+    return np.where(chars < len(_LOWER), _LOWER[np.minimum(chars, len(_LOWER) - 1)], chars), lead[offsets]
 
 
 def gram_hashes(chars: np.ndarray, offsets: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +148,7 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, e
     """A row (key, item_key, ``start``, ``end``, ``edits``) for each document and benchmark item it holds.
 
     A document holds an item if a substring is within ``edit_rate`` of the item's characters (fewer where q
-    allows fewer) of the whole item, after A-Z are lower-cased and runs of blanks made one space; start and
+    allows fewer) of the whole item, after characters are lower-cased one by one and runs of blanks made one space; start and
     end count characters of the text so normalised, at the first of the best places.  Items under
     ``min_chars`` characters are no evidence and are not looked for, nor are null ones; null and empty texts
     hold nothing.  Repeated rows and repeated items give a row each; an empty table on either side gives an

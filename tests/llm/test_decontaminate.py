@@ -8,7 +8,7 @@ BLANK = " \t\n\r\x0b\x0c"
 
 
 def plain(text):
-    text = "".join(" " if c in BLANK else chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    text = "".join(" " if c in BLANK else c.lower() if len(c.lower()) == 1 else c for c in text or "")
     while "  " in text:
         text = text.replace("  ", " ")
     return text
