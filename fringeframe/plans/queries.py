@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import phase as fx
-from ..operators import closure, cropping, detrending, filtering, focal, inversion, masks, network, points, stats, unwrapping
-from .views import SIDE, day_pairs, geolocation, hollow, stack, tiles, with_elevation
+from ..operators import closure, cropping, detrending, filtering, focal, inversion, masks, network, points, rasters, region_repair, stats, unwrapping
+from .views import SIDE, day_pairs, epochs, geolocation, hollow, stack, tiles, with_elevation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +37,7 @@ def _days(*names: str) -> list[Column]:
 # The views, in SQL.
 T = "(SELECT vec_id AS image, ((i - 1) // 8)::INT AS row, ((i - 1) % 8)::INT AS col, 20.0::DOUBLE * embedding[i]::DOUBLE AS phase FROM embeddings, range(1, 65) r(i))"
 H = f"(SELECT image, row, col, CASE WHEN (image * 7 + row * 3 + col) % 11 <> 0 THEN phase END AS phase FROM {T})"
+T_GEO = f"(SELECT row, col, phase AS elev FROM {T} WHERE image = 1)"
 TE = f"(SELECT a.*, b.phase AS elev FROM {T} a LEFT JOIN {T} b ON b.image = a.image + 1 AND b.row = a.row AND b.col = a.col)"
 E = "(SELECT user_id AS row, ((day(ts) - 1) // 5)::INT AS epoch, avg(value) AS m FROM events WHERE (day(ts) - 1) // 5 < 6 GROUP BY ALL)"
 S = f"(SELECT a.epoch * 10 + b.epoch AS image, (DATE '2024-01-01' + a.epoch * 12)::DATE AS first, (DATE '2024-01-01' + b.epoch * 12)::DATE AS second, a.row, b.m - a.m AS phase FROM {E} a JOIN {E} b ON a.row = b.row AND a.epoch < b.epoch)"
@@ -522,6 +523,109 @@ def line_cells(spark, d):
     return image.select("image", F.explode(cells).alias("c")).select("image", "c.y", "c.x")
 
 
+@query(f"SELECT image, row, col, CASE WHEN elev > 0 THEN round(phase, 6) + 0.0 END AS phase FROM (SELECT t.image, t.row, t.col, t.phase, g.elev FROM {T} t JOIN {T_GEO} g USING (row, col))")
+def water_applied(spark, d):
+    pixels = tiles(spark, d)
+    geo = masks.water_mask(geolocation(pixels.where("image = 1").select("row", "col", F.col("phase").alias("elev"))))
+    return masks.mask_water(pixels, geo, ["phase"]).select("image", "row", "col", r6("phase").alias("phase"))
+
+
+@query(f"SELECT image, round(median((row + col + 1) / 16.0::DOUBLE), 6) AS median_coherence, round(median(abs(cos(phase))), 6) AS median_concentration, round(median(abs(atan2(sin(phase - elev), cos(phase - elev)))), 6) AS median_phase_change FROM {TE} WHERE elev IS NOT NULL GROUP BY 1")
+def filter_quality(spark, d):
+    p = with_elevation(tiles(spark, d)).where(F.col("elev").isNotNull())
+    p = p.withColumns({"coh": (F.col("row") + F.col("col") + 1) / F.lit(16.0), "concentration": F.abs(F.cos("phase")), "phase_change": fx.wrap(F.col("phase") - F.col("elev"))})
+    got = stats.filter_quality(p)
+    return got.select("image", *(F.round(c, 6).alias(c) for c in ("median_coherence", "median_concentration", "median_phase_change")))
+
+
+@query(f"SELECT row, col, round(avg(CASE WHEN phase IS NOT NULL THEN abs(sin(phase)) END), 6) AS mean_coherence FROM {H} GROUP BY 1, 2")
+def mean_coherence(spark, d):
+    got = stats.mean_coherence(hollow(tiles(spark, d)).withColumn("coh", F.abs(F.sin("phase"))))
+    return got.select("row", "col", F.round("mean_coherence", 6).alias("mean_coherence"))
+
+
+@query(f"SELECT image, round((quantile_cont(phase, 0.99) - quantile_cont(phase, 0.01)) / (2 * pi()), 6) AS cycles FROM {H} GROUP BY 1")
+def phase_range_cycles(spark, d):
+    return hollow(tiles(spark, d)).groupBy("image").agg(F.round(stats.phase_range_cycles("phase"), 6).alias("cycles"))
+
+
+_RES = ORACLE_SQL["phase_residues"]
+
+
+@query(f"SELECT image, count(*) FILTER (residue > 0) AS positive, count(*) FILTER (residue < 0) AS negative FROM ({_RES}) GROUP BY 1")
+def residue_counts(spark, d):
+    r = F.col("residue")
+    return focal.residues(hollow(tiles(spark, d))).groupBy("image").agg(F.count_if(r > 0).alias("positive"), F.count_if(r < 0).alias("negative"))
+
+
+@query(_REACH.format(T, "phase > 0", "greatest(abs(n.row - c.row), abs(n.col - c.col)) = 1") + "SELECT image, count(DISTINCT root) AS regions, max(size) AS largest FROM q GROUP BY 1")
+def region_sizes(spark, d):
+    got = points.component_labels(tiles(spark, d).withColumn("high", F.col("phase") > 0), "high", diagonal=True)
+    return got.groupBy("image").agg(F.count_distinct("label").alias("regions"), F.max("size").alias("largest"))
+
+
+@query(f"SELECT row, CASE WHEN count(*) = 6 THEN round(regr_slope(disp, years), 6) + 0.0 END AS velocity FROM {_FULL} GROUP BY 1")
+def long_velocity(spark, d):
+    first = Window.partitionBy("row").orderBy("epoch")
+    long = epochs(spark, d).withColumn("disp", fx.displacement(F.col("m") - F.first("m").over(first))).withColumn("years", F.col("epoch") * 12 / F.lit(365.25))
+    return inversion.velocity_of(long, ["row"], 6).select("row", r6("velocity").alias("velocity"))
+
+
+@query(f"SELECT epoch, round(disp * 1000, 6) + 0.0 AS mm FROM {_FULL} WHERE n = 6 AND row = (SELECT row FROM {_FULL} WHERE n = 6 GROUP BY 1 ORDER BY pow(row - 3.2, 2), row LIMIT 1)")
+def point_series(spark, d):
+    got = _series(spark, d).where(F.col("disp").isNotNull()).withColumn("col", F.lit(0))
+    long = got.select("row", "col", F.posexplode("disp").alias("date", "disp"))
+    return points.point_series(long, got, 3.2, 0).select(F.col("date").alias("epoch"), r6("mm").alias("mm"))
+
+
+@query(f"SELECT p.pair, coalesce(q.tier, 0)::INT AS tier, round(coalesce(q.weight, 1.0), 6) AS weight, coalesce(qc_status, 'quality_metadata_unavailable') AS qc_status FROM {P} p LEFT JOIN {_Q} q USING (pair)")
+def attached_quality(spark, d):
+    got = network.attach_quality(day_pairs(spark, d), network.edge_quality(*_reports(spark, d)))
+    return got.select("pair", "tier", F.round("weight", 6).alias("weight"), "qc_status")
+
+
+_SELECTED = ORACLE_SQL["network_selection"]
+
+
+@query(_SELECTED.replace("SELECT pair, pre OR", "SELECT (count(*) FILTER (selected) - (SELECT count(*) FROM (SELECT first FROM o UNION SELECT second FROM o)) + 1)::BIGINT AS cycles, count(*) FILTER (selected AND reason = 'low_quality_connectivity_bridge') AS bridges FROM (SELECT pair, pre OR") + ")")
+def network_redundancy(spark, d):
+    rows = network.attach_quality(day_pairs(spark, d), network.edge_quality(*_reports(spark, d))).orderBy("first", "second").collect()
+    edges = network.select_network([(r["first"], r["second"]) for r in rows], 2, [r.asDict() for r in rows])
+    return spark.createDataFrame([(network.redundancy(edges), len(network.danger_bridges(edges)))], "cycles long, bridges long")
+
+
+_XY = "(2.0::DOUBLE * col / 7 - 1) AS x, (2.0::DOUBLE * row / 7 - 1) AS y"
+
+
+@query(f"SELECT image, row, col, round(1 + 2 * x + 3 * y + 4 * pow(greatest((x - 0.35) / 0.65, 0), 2) + 5 * pow(greatest((x - 0.35) / 0.65, 0), 3), 6) + 0.0 AS edge, round(elev + 2 * elev * x + 3 * elev * y + 4 * elev * x * x + 5 * elev * x * y + 6 * elev * y * y + 7 * elev * elev, 6) + 0.0 AS terrain FROM (SELECT *, {_XY} FROM {TE} WHERE elev IS NOT NULL)")
+def surface_bases(spark, d):
+    p = with_elevation(tiles(spark, d)).where(F.col("elev").isNotNull())
+    x, y = fx.unit_grid(F.col("col"), SIDE), fx.unit_grid(F.col("row"), SIDE)
+    total = lambda terms: sum((F.lit(float(k)) * t for k, t in enumerate(terms, 1)), F.lit(0.0))
+    return p.select("image", "row", "col", r6(total(fx.orbit_terms(x, y, "right_edge_quadratic"))).alias("edge"), r6(total(fx.spatial_terrain_terms(F.col("elev"), x, y, 2))).alias("terrain"))
+
+
+@query(f"SELECT image, round(min(phase) - 0.2 * (max(phase) - min(phase)), 6) + 0.0 AS west, round(max(phase) + 0.2 * (max(phase) - min(phase)), 6) + 0.0 AS east FROM {T} GROUP BY 1")
+def expanded_bounds(spark, d):
+    p = tiles(spark, d).groupBy("image").agg(F.min("phase").alias("a"), F.max("phase").alias("b"))
+    west, _, east, _ = fx.expand_bounds(F.col("a"), F.lit(0.0), F.col("b"), F.lit(1.0), 0.2)
+    return p.select("image", r6(west).alias("west"), r6(east).alias("east"))
+
+
+@query(f"SELECT image, row, col, CASE WHEN phase IS NOT NULL THEN round(cos(phase), 6) + 0.0 END AS re, CASE WHEN phase IS NOT NULL THEN round(sin(phase), 6) + 0.0 END AS im FROM {H}")
+def unit_phasors(spark, d):
+    re, im = fx.unit_phasor(F.col("re"), F.col("im"))
+    return _complex(spark, d).select("image", "row", "col", r6(re).alias("re"), r6(im).alias("im"))
+
+
+@query()
+def repaired_regions(spark, d):
+    """Cycles that the region repair adds to blown-up tiles with a raised block."""
+    p = tiles(spark, d).where("row < 8")
+    wide = p.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(35)))).select("image", (F.col("row") * 6 + F.floor(F.col("k") / 6)).cast("int").alias("row"), (F.col("col") * 6 + F.col("k") % 6).cast("int").alias("col"), (F.col("phase") / 200 + F.when(F.col("row").between(2, 4) & F.col("col").between(2, 4), fx.TWO_PI).otherwise(0.0)).alias("phase"))
+    return rasters.per_image(wide, ["phase"], lambda a: dict(zip(("fixed", "cycles"), region_repair.repair_regions(a["phase"])[:2])), "fixed double, cycles short").groupBy("image").agg(F.count_if(F.col("cycles") == -1).alias("lowered"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Velocities of the epochs' stack: scan, self-join, grouped inversion."""
     return sbas_velocity(spark, sf_dir)
