@@ -198,7 +198,7 @@ def _bigram_filter(train: DataFrame, closed, tokens: int, settings: LmSettings)
                 both = (history >= 0) & (word >= 0)
                 held.append(_spread_keys(history[both], word[both]))
                 size += len(held[-1])
-                if size >= 1 << 22:
+                if size >= 1 << 21:
                     yield flush()
                     size = 0
         if held:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Bytes that separate words: space and \x09-\x0D.
 BLANKS = np.zeros(256, bool)
