@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 _NONE = 1 << 40
 #: A text is cut at blanks first.
 _CHUNK = re.compile(r"[^ \t-\r]+")
+#: What a worker process knows of chunks, by the tokenizer file's digest; it outlives a task.
+_KNOWN: dict[str, dict[str, tuple[int, str, str]]] = {}
 _UNMERGED = (1 << 40, -1)
 _SIGMA = str.maketrans({"Σ": "σ"})
 
@@ -54,6 +57,10 @@ class WordBpe:
         self.text = [""] * size
         for s, i in [*self.vocab.items(), *self.special.items()]:
             self.text[i] = s
+        self.id_text = list(map(str, range(size)))
+        #: Units of a word's bytes: inside, and at its end.
+        self.units = [self.vocab.get(self.letters[chr(b)], -1) for b in range(256)]
+        self.last_units = [self.vocab.get(self.letters[chr(b)] + self.suffix, -1) for b in range(256)]
         self._prepare_spines(size)
         keys = np.array([a * size + b for a, b in self.rank], np.int64)
         by = np.argsort(keys)
@@ -62,10 +69,10 @@ class WordBpe:
         for s, i in self.vocab.items():
             if self.whole[i]:
                 self.piece[s[: -len(self.suffix)] + "\n" if self.suffix and s.endswith(self.suffix) else s] = i
-        #: Longest piece by its first three letters.
+        #: Longest piece by its first four letters.
         self.reach: dict[str, int] = {}
         for s in self.piece:
-            self.reach[s[:3]] = max(self.reach.get(s[:3], 0), len(s))
+            self.reach[s[:4]] = max(self.reach.get(s[:4], 0), len(s))
 
     def _units(self, token: str) -> list[int] | None:
         end = bool(self.suffix) and token.endswith(self.suffix) and len(token) > len(self.suffix)
@@ -122,7 +129,7 @@ class WordBpe:
         n, at, out, piece, reach = len(letters), 0, [], self.piece, self.reach
         mark = n - 1 if self.suffix else n + 1
         while at < n:
-            for end in range(min(n, at + max(2, reach.get(letters[at : at + 3], 2))), at, -1):
+            for end in range(min(n, at + max(3, reach.get(letters[at : at + 4], 3))), at, -1):
                 if end != mark and (i := piece.get(letters[at:end])) is not None:
                     out.append(i)
                     at = end
@@ -163,9 +170,8 @@ class WordBpe:
                 out[k] = None
         for k, p in enumerate(out):
             if p is None:
-                units = [self.letters[chr(c)] for c in words[k].encode("utf-8")]
-                units[-1] += self.suffix
-                out[k] = self.merge([self.vocab[u] for u in units])
+                raw = words[k].encode("utf-8")
+                out[k] = self.merge([*map(self.units.__getitem__, raw[:-1]), self.last_units[raw[-1]]])
         return out
 
     def follow_library(self, path: str) -> None:
@@ -186,15 +192,17 @@ class WordBpe:
             if (low := library.normalizer.normalize_str(c)) != c.lower():
                 self.lower[ord(c)] = low
         if odd:
-            self.odd = regex.compile(f"[{''.join(odd)}]")
+            self.odd = frozenset(odd)
             self.odd_pattern = regex.compile(self.pattern.pattern.replace(r"\p{L}", f"[\\p{{L}}--[{''.join(odd)}]]"), regex.V1)
 
     def _split(self, text: str) -> list[str]:
         text = unicodedata.normalize("NFC", text).translate(self.lower).lower()
-        return (self.odd_pattern if self.odd is not None and self.odd.search(text) else self.pattern).findall(text)
+        return (self.pattern if self.odd is None or self.odd.isdisjoint(text) else self.odd_pattern).findall(text)
 
     def words(self, chunk: str) -> list[str]:
         """Words of a chunk without blanks, after normalisation; a special token's string stays one item."""
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower()]
         if chunk.isascii() and not any(s in chunk for s in self.special):
             return self.pattern.findall(chunk.lower())
         out = []
@@ -210,10 +218,13 @@ class WordBpe:
         return [ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]] for ws in split]
 
 
+@lru_cache(maxsize=2)
 def load_word_bpe(path: str) -> WordBpe:
     """The model of a tokenizers JSON file, read on the driver."""
-    with open(path, encoding="utf-8") as f:
-        model = WordBpe(json.load(f))
+    with open(path, "rb") as f:
+        raw = f.read()
+    model = WordBpe(json.loads(raw))
+    model.digest = hashlib.sha256(raw).hexdigest()
     model.follow_library(path)
     return model
 
@@ -221,7 +232,7 @@ def load_word_bpe(path: str) -> WordBpe:
 _ENCODED = ["n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"]
 
 
-def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", carry: list[str] | None = None, digests: bool = False, cache_chunks: int = 150_000) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", carry: list[str] | None = None, digests: bool = False, cache_chunks: int = 300_000) -> DataFrame:
     """Encodes every whole text and decodes it again.
 
     Adds ``n_tokens`` (long), ``ids`` (array of int) and ``decoded`` (string), or with ``digests`` their
@@ -240,13 +251,13 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", car
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model.value
-        known: dict[str, tuple[int, str, str]] = {}
+        known = _KNOWN.setdefault(bpe.digest, {})
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 texts = [_CHUNK.findall(t) if t else [] for t in part.column(text).to_pylist()]
                 fresh = list({c for cs in texts for c in cs}.difference(known))
-                new = {c: (len(ids), " ".join(map(str, ids)), " ".join([bpe.text[i] for i in ids])) for c, ids in zip(fresh, bpe.encode_chunks(fresh))}
+                new = {c: (len(ids), " ".join([bpe.id_text[i] for i in ids]), " ".join([bpe.text[i] for i in ids])) for c, ids in zip(fresh, bpe.encode_chunks(fresh))}
                 if len(known) < cache_chunks:
                     known |= new
                     new = {}
