@@ -215,15 +215,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, settings:
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, term, count = term_counts(*ts.utf8(batch.column(1)))
-            at = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(at, pa.array(term.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(count))], names=["doc_id", "toxic", "terms", "counts"])
+            at = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            bodies = [pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(at, at[1:])], pa.binary()) for x, kind in ((term, "<u8"), (count, "<u4"))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *bodies], names=["doc_id", "toxic", "terms", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = plain.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").mapInArrow(terms, f"doc_id {kind}, toxic int, terms array<long>, counts array<long>")
+    rows = plain.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").mapInArrow(terms, f"doc_id {kind}, toxic int, terms binary, counts binary")
     rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    doc = np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows])
-    term = np.array([t for r in rows for t in r["terms"]], np.int64).view(np.uint64)
-    count = np.array([c for r in rows for c in r["counts"]], np.int64)
+    term = np.frombuffer(b"".join(r["terms"] for r in rows), "<u8")
+    count = np.frombuffer(b"".join(r["counts"] for r in rows), "<u4").astype(np.int64)
+    doc = np.repeat(np.arange(len(rows)), [len(r["terms"]) // 8 for r in rows])
     label = np.array([r["toxic"] for r in rows], np.int64)
     vocabulary = choose_terms(doc, term, label, settings)
     known = spark.sparkContext.broadcast(vocabulary)
