@@ -139,8 +139,8 @@ class PuModel:
         return _sigmoid(self._inputs(features) @ self.weights)
 
 
-def _feature_rows(rows: DataFrame) -> np.ndarray:
-    """Features of a bounded table's texts, computed on the executors."""
+def _feature_rows(rows: DataFrame, most: int) -> np.ndarray:
+    """Features of at most ``most`` of a table's texts, computed where the texts are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +150,7 @@ def _feature_rows(rows: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = sorted((r["doc_id"], bytes(r["x"])) for r in rows.mapInArrow(run, f"doc_id {kind}, x binary").collect())
+    got = sorted((r["doc_id"], bytes(r["x"])) for r in rows.mapInArrow(run, f"doc_id {kind}, x binary").limit(most).collect())
     return np.frombuffer(b"".join(x for _, x in got), np.float32).reshape(-1, FEATURES)
 
 
@@ -172,9 +172,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, settings: P
     picked = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.positives).collect()
     kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)])
     wanted = spark.createDataFrame([(r[0],) for r in picked], kind)
-    positive = _feature_rows(plain.join(F.broadcast(wanted), "doc_id"))[: 2 * settings.positives]
+    positive = _feature_rows(plain.join(F.broadcast(wanted), "doc_id"), 2 * settings.positives)
     share = min(1.0, settings.unlabelled / max(1, plain.count()))
-    unlabelled = _feature_rows(plain.where(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * settings.unlabelled))
+    unlabelled = _feature_rows(plain.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30))), 2 * settings.unlabelled)
     model = spark.sparkContext.broadcast(PuModel(positive, unlabelled, settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
