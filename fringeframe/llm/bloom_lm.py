@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +31,19 @@ _MAX_LEVEL = 60
 
 @dataclass(frozen=True)
 class LmSettings:
-    """Bounds and smoothing: the ``vocabulary`` most frequent words (of at most ``word_bytes`` bytes) have
-    bigrams; the filter has ``filter_bits`` bits at most and ``bits_per_entry`` an entry, so where the corpus
-    has more, the least frequent levels are left out; ``mu`` is the weight of the unigram prior in counts."""
+    """Bounds and smoothing: without ``vocabulary`` every word has bigrams and the filter grows with the corpus.
+    With it, only so many of the most frequent words (of at most ``word_bytes`` bytes) have, and the filter has
+    ``filter_bits`` bits at most, so where the corpus has more, the least frequent levels are left out.  An
+    entry has ``bits_per_entry`` bits; ``least_level`` is the first level held (2: from the second count on),
+    without ``vocabulary``; ``mu`` is the weight of the unigram prior in counts."""
 
-    vocabulary: int = 65536
+    vocabulary: int | None = None
     word_bytes: int = 64
     filter_bits: int = 1 << 28
     bits_per_entry: int = 12
     log_base: float = 1.5
     mu: float = 500.0
+    least_level: int = 2
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -245,6 +249,114 @@ def _bigram_filter(train: DataFrame, closed, tokens: int, settings: LmSettings)
     return out
 
 
+def _lookups(h: np.ndarray, first: np.ndarray):
+    """(history, word, row, bigram key) of every token, by hashes; the end mark's hash is 0."""
+    history, word, row = _transitions(h.view(np.int64), first, 0)
+    history, word = history.view(np.uint64), word.view(np.uint64)
+    return history, word, row, ts.mix(history * (_SPREAD | np.uint64(1)) + word)
+
+
+def _unpacked(blob: bytes, at: int):
+    """A packed chunk of rows, its texts' words as ``_lookups``, and the first word of each row."""
+    part = pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches()[0]
+    data, offsets = ts.utf8(part.column(at))
+    low = ts.LOWER[data]
+    starts, ends, first = ts.spans(low, offsets)
+    return part, first, *_lookups(ts.span_hashes(low, starts, ends), first)
+
+
+def _score_open(docs: DataFrame, train: Column, settings: LmSettings, text: str, own: list[str]) -> DataFrame:
+    """``score_documents`` with every word and bigram.  Each chunk of rows sends its distinct words and bigrams,
+    with their training counts, to the slices of the hashes; a slice adds the counts up, fills its own region of
+    the filter, as large as its entries need, and answers the chunks in the order of their keys."""
+    names, at = [f"c{i}" for i in range(len(own))], len(own)
+    given = docs.select(*(F.col(c).alias(n) for c, n in zip(own, names)), F.coalesce(F.col(text), F.lit("")).alias("lm_text"), F.coalesce(train, F.lit(False)).alias("lm_train"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cid = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            _, offsets = ts.utf8(batch.column(at))
+            for lo, hi in ts.chunks(offsets):
+                sink = pa.BufferOutputStream()
+                part = batch.slice(lo, hi - lo)
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([cid]), pa.array([int(offsets[hi] - offsets[lo])]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["cid", "bytes", "body"])
+                cid += 1
+
+    chunks = written(given.mapInArrow(pack, "cid long, bytes long, body binary"))
+    size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    slices = 1 << max(0, math.ceil(math.log2(max(1, size / (1 << 23)))))
+    shift = np.uint64(65 - slices.bit_length())
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part, _, _, word, row, pair = _unpacked(body, at)
+                learned = part.column(at + 1).to_numpy(zero_copy_only=False).astype(np.float64)[row]
+                rows = []
+                for kind, all_keys in enumerate((word, pair)):
+                    keys, back = np.unique(all_keys, return_inverse=True)
+                    n = np.bincount(back, weights=learned).astype(np.int64)
+                    slot = (keys >> shift).astype(np.int64) if slices > 1 else np.zeros(len(keys), np.int64)
+                    edge = np.r_[0, np.flatnonzero(np.diff(slot)) + 1, len(keys)]
+                    for a, b in zip(edge, edge[1:]):
+                        gap = np.diff(keys[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+                        rows.append((int(slot[a]) + slices * kind, cid, int(b - a), zlib.compress(np.ascontiguousarray(gap).tobytes(), 1), _planes(n[a:b])))
+                cols = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[3:])], names=["slice", "cid", "n", "keys", "counts"])
+
+    def answer(group: pa.Table) -> pa.Table:
+        cid, number = group["cid"].to_pylist(), group["n"].to_pylist()
+        slice_ = group["slice"][0].as_py()
+        keys = np.concatenate([np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(k), np.uint8).reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64) for k, n in zip(group["keys"].to_pylist(), number)])
+        counts = np.concatenate([_from_planes(c, n) for c, n in zip(group["counts"].to_pylist(), number)])
+        got, back = np.unique(keys, return_inverse=True)
+        total = np.bincount(back, weights=counts).astype(np.int64)
+        value, types, tokens = total, 0, 0
+        if slice_ < slices:
+            types, tokens = int((total > 0).sum()), int(total.sum())
+        else:
+            level = np.where(total > 0, levels(total, settings.log_base), 0)
+            entries = int(np.maximum(level - settings.least_level + 1, 0).sum())
+            bits = max(64, 1 << math.ceil(math.log2(max(1, entries * settings.bits_per_entry))))
+            region = LogFrequencyFilter(1, bits, settings.least_level, settings.log_base)
+            region.bits = np.frombuffer(LogFrequencyFilter.fill(got, level, settings.least_level, bits), np.uint8)
+            held = region.count(got)
+            value = np.where(held > 0, np.round(np.log(np.maximum(held, 1)) / math.log(settings.log_base)).astype(np.int64) + 1, 0)
+        edge = np.r_[0, np.cumsum(number)]
+        bodies = [zlib.compress(value[back[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1) for a, b in zip(edge, edge[1:])]
+        none = [0] * (len(cid) - 1)
+        return pa.table({"cid": pa.array(cid, pa.int64()), "slice": pa.array([slice_] * len(cid), pa.int32()), "n": pa.array(number, pa.int32()), "answer": pa.array(bodies, pa.binary()), "types": pa.array([types, *none], pa.int64()), "tokens": pa.array([tokens, *none], pa.int64())})
+
+    asked = chunks.select("cid", "body").mapInArrow(send, "slice int, cid long, n int, keys binary, counts binary")
+    answers = written(asked.groupBy("slice").applyInArrow(answer, "cid long, slice int, n int, answer binary, types long, tokens long"))
+    total, types = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    scale, mu = total + 0.5 * (types + 1), settings.mu
+
+    def score(chunk: pa.Table, replies: pa.Table) -> pa.Table:
+        part, first, history, word, row, pair = _unpacked(chunk["body"][0].as_py(), at)
+        rows = len(first) - 1
+        values: tuple[list, list] = ([], [])
+        for s, n, body in sorted(zip(*(replies[c].to_pylist() for c in ("slice", "n", "answer")))):
+            values[s >= slices].append(np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(8, n).T).view("<i8").ravel())
+        known, back = np.unique(word, return_inverse=True)
+        count = np.concatenate(values[0])
+        c, c1 = count[back], count[np.searchsorted(known, history)]
+        level = np.concatenate(values[1])[np.unique(pair, return_inverse=True)[1]]
+        c2 = np.minimum(np.where(level > 0, settings.log_base ** (level - 1.0), 0.0), c1)
+        base = np.log10((c + 0.5) / scale)
+        model = np.log10((c2 + mu * (c + 0.5) / scale) / (c1 + mu))
+        sums = [np.bincount(row, weights=x, minlength=rows) for x in (c > 0, base, model)]
+        cols = [*(part.column(k) for k in range(at)), pa.array(np.diff(first) + 1), pa.array(sums[0].astype(np.int64)), pa.array(np.full(rows, int(total))), pa.array(sums[1]), pa.array(sums[2])]
+        return pa.Table.from_arrays(cols, names=[*names, *made])
+
+    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kinds = "".join(f"{n} {given.schema[n].dataType.simpleString()}, " for n in names)
+    scored = chunks.select("cid", "body").groupBy("cid").cogroup(answers.select("cid", "slice", "n", "answer").groupBy("cid")).applyInArrow(score, kinds + "n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return scored.select(*(F.col(n).alias(c) for n, c in zip(names, own)), *made)
+
+
 def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSettings(), text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Adds token counts and log10 probabilities of every whole text under a model of the rows where ``train`` holds.
 
@@ -252,15 +364,17 @@ def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSet
     ``n_tokens``, ``n_known`` (tokens seen in training), ``train_tokens`` (long), ``base_score`` (sum over
     tokens of log10((c + 0.5) / (N + 0.5 * (V + 1)))) and ``score``: with p1 that unigram probability, h the
     token before (the end, at the start), c2 the filter's count of the bigram and c1 the count of h,
-    P = (c2 + mu * p1) / (c1 + mu); words outside the closed vocabulary, as history, have c1 = 0.  Unigram
-    counts are exact for every word: frequent words come from the broadcast closed vocabulary, all others by
-    a join on the word.  A null or empty text is an end; a null ``train`` is false; without training rows
+    P = (c2 + mu * p1) / (c1 + mu).  Unigram counts are exact for every word; words and bigrams are told apart
+    by 64-bit hashes.  With a bounded vocabulary, words outside it have c1 = 0 as history; its words come from
+    a broadcast, all others by a join on the word.  A null or empty text is an end; a null ``train`` is false; without training rows
     every probability is 1 of 1.  Rows stand alone, repeated ones too; an empty table gives an empty result;
     columns named like a result are replaced.  ``carry``: input columns to return, all by default.
     """
     spark = docs.sparkSession
     made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     own = [c for c in (docs.columns if carry is None else carry) if c not in made]
+    if settings.vocabulary is None:
+        return _score_open(docs, train, settings, text, own)
     learn = docs.where(F.coalesce(train, F.lit(False))).select(F.col(text).alias("lm_text"))
     vocabulary = _vocabulary(learn)
     total, types = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()

@@ -84,3 +84,13 @@ def test_keys_are_spread_one_to_one():
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 1 << 17, 100000), rng.integers(0, 1 << 17, 100000)
     assert len(np.unique(_spread_keys(a, b))) == len(np.unique(a << 17 | b))
+
+
+def test_every_word_and_bigram_takes_part(spark):
+    rows = [(i, t * 2, "en", "s") for i, t in enumerate(["a" * 70 + " b c " * 3, "b " + "é" * 50 + " c ", "b c a"])] + documents()
+    settings = LmSettings(bits_per_entry=120, filter_bits=64, word_bytes=64, mu=5.0)
+    got = score_documents(frame(spark, rows), F.col("doc_id") % 3 != 1, settings, carry=["doc_id"]).collect()
+    got = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=str)
+    want = brute(rows, lambda r: r[0] is not None and r[0] % 3 != 1, 1 << 30, LmSettings(word_bytes=1 << 30, mu=5.0))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4:] for g in got], [w[4:] for w in want], atol=1e-5)
