@@ -94,3 +94,15 @@ def test_every_word_and_bigram_takes_part(spark):
     want = brute(rows, lambda r: r[0] is not None and r[0] % 3 != 1, 1 << 30, LmSettings(word_bytes=1 << 30, mu=5.0))
     assert [g[:4] for g in got] == [w[:4] for w in want]
     assert np.allclose([g[4:] for g in got], [w[4:] for w in want], atol=1e-5)
+
+
+def test_filter_grows_with_its_entries_and_can_hold_bigrams_seen_once(spark):
+    rows = [(0, "a b c", "en", "s"), (1, "a b c", "en", "s"), (2, "d e", "en", "s")]
+    once, twice = (
+        {r["doc_id"]: r["score"] for r in score_documents(frame(spark, rows), F.lit(True), LmSettings(bits_per_entry=120, filter_bits=64, mu=5.0, least_level=k), carry=["doc_id"]).collect()}
+        for k in (1, 2)
+    )
+    assert once[2] > twice[2] + 0.1 and abs(once[0] - twice[0]) < 1e-9
+    # Frequent bigrams stay held however small the old bound of the filter.
+    free = {r["doc_id"]: r["score"] for r in score_documents(frame(spark, rows), F.lit(True), LmSettings(bits_per_entry=120, mu=5.0), carry=["doc_id"]).collect()}
+    assert all(abs(free[k] - twice[k]) < 1e-9 for k in free)
