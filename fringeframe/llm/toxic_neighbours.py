@@ -193,7 +193,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, settings:
     ``labels`` has ``doc_id`` and ``toxic``; ``learn`` says by doc_id which labels may be learned from.  The
     examples are the labelled rows of least hash, up to the settings' bound, with their whole texts; terms are
     chosen by chi-square among them; document frequencies are counted over all documents.  ``neighbours`` is
-    an array of (doc_id, similarity, toxic), nearest first.  A text without known terms, empty and null ones
+    an array of (doc_id, similarity, toxic), nearest first, of all that vote.  A text without known terms, empty and null ones
     too, has no neighbours and the least score.  Null labels and ids are not learned from; of several labels
     of one document the largest counts; without both labels every score is the same.  Rows stand alone,
     repeated ones too; an empty table gives an empty result; columns named like a result are replaced.
@@ -254,7 +254,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, settings:
             data, offsets = ts.utf8(batch.column(len(own)))
             for lo, hi in ts.chunks(offsets):
                 score, cosine, who = m.score(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                near = [[{"doc_id": m.ids[k], "similarity": c, "toxic": int(m.label[k])} for k, c in zip(ks, cs) if k >= 0] for ks, cs in zip(who[:, :5].tolist(), cosine[:, :5].tolist())]
+                near = [[{"doc_id": m.ids[k], "similarity": c, "toxic": int(m.label[k])} for k, c in zip(ks, cs) if k >= 0] for ks, cs in zip(who.tolist(), cosine.tolist())]
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(own))), pa.array(score), pa.array((score >= m.settings.sure).astype(np.int32)), pa.array(near, pa.list_(item))], names=schema.names)
 

@@ -86,6 +86,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert got[10_010]["neighbours"] == [] and got[10_012]["score"] == got[10_011]["score"]
 
 
+def test_evidence_holds_every_voter(spark):
+    rows, labels = corpus()
+    learned = spark.createDataFrame(labels, "doc_id int, toxic int, quality int")
+    got = score_toxicity(frame(spark, rows), learned, F.col("doc_id") % 3 != 1, carry=["doc_id"]).collect()
+    assert max(len(r["neighbours"]) for r in got) == NeighbourSettings().k
+    weigh = lambda n: 1 / (1.05 - min(n["similarity"], 1))
+    vote = np.array([sum(weigh(n) * n["toxic"] for n in r["neighbours"]) / max(sum(map(weigh, r["neighbours"])), 1e-300) for r in got])
+    assert (np.diff(np.array([r["score"] for r in got])[np.argsort(vote)]) >= -1e-9).all()
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = score_toxicity(frame(spark), none, F.lit(True)).collect()
