@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import textscan as ts
+from .frames import kept_columns, neutral
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -144,15 +145,17 @@ def judge_repetition(docs: DataFrame, rule: RepetitionRule = RepetitionRule(), t
     texts of any length are judged whole, and input columns named like a result are replaced.  No shuffle;
     a task holds one chunk of about 2 MB, or one longer document.
     """
-    own = [c for c in (docs.columns if carry is None else carry) if c not in _COUNTS + _FLAGS]
-    schema = T.StructType([docs.schema[c] for c in own] + [T.StructField(c, T.LongType()) for c in _COUNTS] + [T.StructField(c, T.BooleanType()) for c in _FLAGS])
+    own = kept_columns(docs, carry, _COUNTS + _FLAGS)
+    given = neutral(docs, own, body=text)
+    names = given.columns[:-1]
+    schema = T.StructType([given.schema[c] for c in names] + [T.StructField(c, T.LongType()) for c in _COUNTS] + [T.StructField(c, T.BooleanType()) for c in _FLAGS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = ts.utf8(batch.column(text))
+            data, offsets = ts.utf8(batch.column(len(own)))
             for lo, hi in ts.chunks(offsets):
                 got = _measure(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], rule)
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in own] + [pa.array(got[c].astype(np.int64)) for c in _COUNTS] + [pa.array(got[c]) for c in _FLAGS], names=own + _COUNTS + _FLAGS)
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in range(len(own))] + [pa.array(got[c].astype(np.int64)) for c in _COUNTS] + [pa.array(got[c]) for c in _FLAGS], names=names + _COUNTS + _FLAGS)
 
-    return docs.select(*dict.fromkeys([*own, text])).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema).toDF(*own, *_COUNTS, *_FLAGS)

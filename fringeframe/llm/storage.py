@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths and catalogue tables that this driver has written and not yet removed.
+_WRITTEN: list[tuple[str, str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; one of our own only in local mode, where it is unset."""
@@ -20,9 +25,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the application's own folder that no other table has, removed by ``scratch``."""
+    path = f"{shared_folder(spark).rstrip('/')}/fringeframe-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(("path", path))
+    return path
+
+
+def new_table(spark: SparkSession) -> str:
+    """A catalogue name that no other table has, dropped by ``scratch``."""
+    name = f"fringeframe_{uuid.uuid4().hex}"
+    _WRITTEN.append(("table", name))
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, no lineage, safe when executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the intermediate tables written inside: write an operator's result before that."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        while len(_WRITTEN) > before:
+            kind, name = _WRITTEN.pop()
+            if kind == "table":
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            else:
+                path = spark._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,20 +1,24 @@
 """Vectorised scanning of UTF-8 text columns.
 
 A batch of texts is one byte array plus document offsets, straight from Arrow's
-own buffers.  Words, lines and n-word windows are spans of that array, hashed
-with random-table polynomials modulo 2**64, so no Python object is made per word.
+own buffers.  Words, lines and n-word windows are spans of that array.  Spans are
+hashed eight bytes at a time, windows as trees over their words' hashes; every step
+mixes all 64 bits, so no arrangement of words or letters cancels out.
+Long texts are scanned in pieces, so that what is held grows with their words.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
+_PIECE = 1 << 22
+#: Spans that long are hashed by xxh3, one by one.
+_LONG = 256
 
 #: Bytes that separate words: space and \x09-\x0D.
 BLANKS = np.zeros(256, bool)
@@ -24,43 +28,27 @@ BLANKS[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: The low 0 to 8 bytes of a word.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
-@lru_cache(maxsize=None)
-def _table(seed: int) -> np.ndarray:
-    return np.random.default_rng(0xF17E + seed).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
-
-
-@lru_cache(maxsize=None)
-def _base(seed: int) -> int:
-    return int(np.random.default_rng(0xBA5E + seed).integers(2**40, 2**63, dtype=np.uint64)) | 5
-
-
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-
-def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n."""
-    if seed not in _POWERS or len(_POWERS[seed][0]) <= n:
-        size = max(n + 1, 1 << 16)
-        out = []
-        for b in (_base(seed), pow(_base(seed), -1, 2**64)):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=U64))
-        _POWERS[seed] = (out[0], out[1])
-        while len(_POWERS) > 4:
-            _POWERS.pop(next(iter(_POWERS)))
-    return _POWERS[seed]
+def _constants(seed: int) -> tuple[np.uint64, np.uint64]:
+    """Two odd numbers that tell the hashes of different seeds apart."""
+    a, b = np.random.default_rng([0xF17E, seed]).integers(2**62, 2**63, 2, dtype=np.uint64)
+    return U64(2) * a + U64(1), U64(2) * b + U64(1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     h = h.astype(U64, copy=True)
-    h ^= h >> U64(30)
+    t = h >> U64(30)
+    h ^= t
     h *= U64(0xBF58476D1CE4E5B9)
-    h ^= h >> U64(27)
+    np.right_shift(h, U64(27), out=t)
+    h ^= t
     h *= U64(0x94D049BB133111EB)
-    h ^= h >> U64(31)
+    np.right_shift(h, U64(31), out=t)
+    h ^= t
     return h
 
 
@@ -93,54 +81,98 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS
     Returns starts, ends and, for each document and one past the last, the index of its first span.
     """
     n = len(data)
-    if not n:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~separators[data]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    begin, end = solid.copy(), solid.copy()
-    begin[1:] &= ~solid[:-1] | cut[1:n]
-    end[:-1] &= ~solid[1:] | cut[1:n]
-    starts = np.flatnonzero(begin)
-    return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, n, _PIECE):
+        hi = min(n, lo + _PIECE)
+        # One byte more on either side says where runs that cross a piece's edge go on.
+        solid = np.zeros(hi - lo + 2, bool)
+        a, b = max(0, lo - 1), min(n, hi + 1)
+        solid[a - lo + 1 : b - lo + 1] = ~separators[data[a:b]]
+        cut = np.zeros(hi - lo + 1, bool)
+        cut[offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, side="right")] - lo] = True
+        mine = solid[1:-1]
+        starts.append(np.flatnonzero(mine & (~solid[:-2] | cut[:-1])) + lo)
+        ends.append(np.flatnonzero(mine & (~solid[2:] | cut[1:])) + lo + 1)
+    begin = np.concatenate(starts)
+    return begin, np.concatenate(ends), np.searchsorted(begin, offsets)
+
+
+def _short_hashes(data: np.ndarray, starts: np.ndarray, length: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of spans, eight bytes a round; each round is a bijection of the hash so far."""
+    add, times = _constants(seed)
+    tail = len(data) - 8
+    lanes = np.ndarray((tail + 1,), "<u8", data, strides=(1,))
+    h = mix(length.astype(U64) * times + add)
+    live, at, left = None, starts, length
+    while len(at):
+        lane = lanes[np.minimum(at, tail)]
+        late = np.flatnonzero(at > tail)
+        if len(late):
+            lane[late] >>= ((at[late] - tail) * 8).astype(U64)
+        lane &= _LOW_BYTES[np.minimum(left, 8)]
+        if live is None:
+            h = mix((h ^ lane) * times)
+        else:
+            h[live] = mix((h[live] ^ lane) * times)
+        more = np.flatnonzero(left > 8)
+        live, at, left = more if live is None else live[more], at[more] + 8, left[more] - 8
+    return h
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hash of each span's bytes."""
-    n = len(data)
-    forth, back = _powers(seed, n)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(_table(seed)[data] * forth[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(U64))
+    if len(data) < 8:
+        data = np.concatenate([data, np.zeros(8, np.uint8)])
+    data = np.ascontiguousarray(data)
+    out = np.empty(len(starts), U64)
+    for lo in range(0, len(starts), _PIECE // 8):
+        part = slice(lo, lo + _PIECE // 8)
+        length = ends[part] - starts[part]
+        long = np.flatnonzero(length >= _LONG)
+        if not len(long):
+            out[part] = _short_hashes(data, starts[part], length, seed)
+            continue
+        short = np.flatnonzero(length < _LONG)
+        out[lo + short] = _short_hashes(data, starts[part][short], length[short], seed)
+        out[lo + long] = [xxhash.xxh3_64_intdigest(data[a:b], seed) for a, b in zip(starts[part][long].tolist(), ends[part][long].tolist())]
+    return out
 
 
 def window_hashes(words: np.ndarray, first: np.ndarray, width: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Start index and hash of every window of ``width`` consecutive words of one document."""
+    """Start index and hash of every window of ``width`` consecutive words of one document.
+
+    Windows of 1, 2, 4, ... words are hashed from two halves each; ``width`` is put together from these.
+    """
     n = len(words)
-    left = np.repeat(first[1:], np.diff(first)) - np.arange(n)
-    at = np.flatnonzero(left >= width)
+    at = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(n) >= width)
     if not len(at):
         return at, np.zeros(0, U64)
-    forth, back = _powers(seed + 1000, n)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(words * forth[:n], out=total[1:])
-    return at, mix((total[at + width] - total[at]) * back[at])
+    add, times = _constants(seed)
+    level, size, done, out = words, 1, 0, None
+    while True:
+        if width & size:
+            mine = level[at + done]
+            out = mix(mine + add) if out is None else mix(out * times + mine)
+            done += size
+        if 2 * size > width:
+            return at, out
+        level = mix(level[:-size] * times + level[size:])
+        size *= 2
 
 
 def per_document(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of ``values`` over each document's slice."""
-    total = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(values, out=total[1:])
-    return np.diff(total[first])
+    out = np.zeros(len(first) - 1, np.int64)
+    some = np.flatnonzero(np.diff(first))
+    if len(some):
+        out[some] = np.add.reduceat(values, first[some], dtype=np.int64)
+    return out
 
 
 def covered(at: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
     """Mask of the positions in the union of [at, at + length)."""
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, at, 1)
-    np.add.at(step, at + length, -1)
-    return np.cumsum(step[:-1]) > 0
+    step = np.bincount(at, minlength=n + 1) - np.bincount(at + length, minlength=n + 1)
+    return np.cumsum(step[:n]) > 0
 
 
 def take_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:

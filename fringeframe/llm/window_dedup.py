@@ -4,15 +4,15 @@ Documents are laid out once as a table bucketed by block, a block being a range
 each block sends, for every row of the sketch, the cells its windows fall into; a cell range's reducer merges
 the partial sketches and answers each block with one bit a cell: was it hit twice or more?  Cells travel as
 sorted deltas, so the sketch can be many times as wide as a dense one.  A window is estimated repeated if all
-its cells are; estimates are never too low, so no repeat is lost.  Second pass: each block sends 96-bit
-digests of those windows only, once each, and learns which of them start first in this block.
+its cells are; estimates are never too low, so no repeat is lost.  Second pass: each block sends 128-bit
+digests of those windows only, once each, and learns which of them start first in this block.  A digest is two
+trees of 64-bit mixes over the window's words under independent constants (``textscan``).
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 import zlib
 
 import numpy as np
@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textscan as ts
-from .storage import written
+from .frames import kept_columns, neutral
+from .storage import new_table, written
 
 _CELLS_PER_SLICE = 22
 _MESSAGE = "slice int, block int, n int, body binary"
@@ -46,25 +47,13 @@ class _Block:
     """Words and windows of one block, in order of doc_id, text and position."""
 
     def __init__(self, docs: pa.Table, width: int, text: str):
-        self.data, self.offsets = ts.utf8(docs.column(text))
-        self.starts, self.ends, self.first = [], [], [np.zeros(1, np.int64)]
-        hashes: list[list[np.ndarray]] = [[], [], []]
-        total = 0
-        for lo, hi in ts.chunks(self.offsets):
-            begin = self.offsets[lo]
-            data = self.data[begin : self.offsets[hi]]
-            s, e, f = ts.spans(data, self.offsets[lo : hi + 1] - begin)
-            for seed, out in enumerate(hashes):
-                out.append(ts.span_hashes(data, s, e, seed))
-            self.starts.append(s + begin)
-            self.ends.append(e + begin)
-            self.first.append(f[1:] + total)
-            total += len(s)
-        self.starts, self.ends = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (self.starts, self.ends))
-        self.first = np.concatenate(self.first)
-        words = [np.concatenate(h) if h else np.zeros(0, np.uint64) for h in hashes]
-        self.at, self.window = ts.window_hashes(words[0], self.first, width, 0)
-        self.digest = tuple(ts.window_hashes(words[k], self.first, width, k)[1] for k in (1, 2))
+        self.data, self.offsets, self.width = *ts.utf8(docs.column(text)), width
+        self.starts, self.ends, self.first = ts.spans(self.data, self.offsets)
+        self.at, self.window = self.windows(0)
+
+    def windows(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of every window."""
+        return ts.window_hashes(ts.span_hashes(self.data, self.starts, self.ends, seed), self.first, self.width, seed)
 
     def cells(self, row: int, log_width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct cells of the windows in a row of the sketch, their counts, and each window's index among them."""
@@ -101,14 +90,14 @@ def _repeated(block: _Block, answers: dict[int, np.ndarray], depth: int, log_wid
 
 def _digests(block: _Block, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct digests (a, b) of the hot windows in sorted order, and each hot window's index among them."""
-    kind = np.empty(int(hot.sum()), [("a", "<u8"), ("b", "<u4")])
-    kind["a"], kind["b"] = block.digest[0][hot], (block.digest[1][hot] >> np.uint64(32)).astype(np.uint32)
-    by = np.lexsort((kind["b"], kind["a"]))
-    new = np.r_[True, kind[by][1:] != kind[by][:-1]][: len(by)]
+    a = block.window[hot]
+    b = block.windows(1)[1][hot] if len(a) else a
+    by = np.lexsort((b, a))
+    a, b = a[by], b[by]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(by)]
     back = np.empty(len(by), np.int64)
     back[by] = np.cumsum(new) - 1
-    got = kind[by][new]
-    return got["a"].copy(), got["b"].copy(), back
+    return a[new], b[new], back
 
 
 def _messages(block: int, parts: list[tuple[int, int, bytes]]) -> pa.Table:
@@ -137,7 +126,7 @@ def _merge_digests(group: pa.Table) -> pa.Table:
         return _answer_table(0, [])
     sent = sorted(zip(group["block"].to_pylist(), group["n"].to_pylist(), group["body"].to_pylist()))
     a = np.concatenate([np.frombuffer(body, "<u8", n) for _, n, body in sent])
-    b = np.concatenate([np.frombuffer(body, "<u4", n, 8 * n) for _, n, body in sent])
+    b = np.concatenate([np.frombuffer(body, "<u8", n, 8 * n) for _, n, body in sent])
     by = np.lexsort((b, a))  # stable: equal digests stay in order of their blocks
     lead = np.r_[True, (np.diff(a[by]) != 0) | (np.diff(b[by]) != 0)]
     bit = np.zeros(len(a), bool)
@@ -158,22 +147,19 @@ def remove_repeated_windows(docs: DataFrame, width: int = 20, text: str = "text"
     first; rows of one doc_id are taken in order of their text, and of equal rows one keeps its words.
     ``carry``: input columns to return, all by default; columns named like a result are replaced.  A window
     of a third of all documents is one digest a block.  The layout takes one shuffle of the texts, later
-    passes read the bucketed table in place; it stays in the warehouse until the application drops it.
+    passes read the bucketed table in place; ``storage.scratch`` drops it.
     """
     spark = docs.sparkSession
-    own = [c for c in (docs.columns if carry is None else carry) if c not in _ADDED]
-    held = docs.select(*dict.fromkeys([*own, "doc_id", text]))
-    total = held.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    own = kept_columns(docs, carry, _ADDED)
+    held = neutral(docs, own, ident="doc_id", body=text)
+    total = held.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     log_width = max(_CELLS_PER_SLICE, math.ceil(math.log2(max(1, total / 6 * cells_per_window))))
     digest_bits = max(0, math.ceil(math.log2(max(1, total / 6 / digests_per_slice))))
-    # Columns get neutral names, so that any name and any case clash passes through the catalogue.
-    name, alias = f"fringeframe_{uuid.uuid4().hex}", {c: f"c{i}" for i, c in enumerate(held.columns)}
-    laid = held.toDF(*alias.values()).repartitionByRange(blocks, alias["doc_id"]).withColumn("block", F.spark_partition_id())
-    laid = laid.sortWithinPartitions(alias["doc_id"], alias[text])
+    name, ident, body = new_table(spark), "ident", "body"
+    laid = held.repartitionByRange(blocks, ident).withColumn("block", F.spark_partition_id()).sortWithinPartitions(ident, body)
     laid.write.format("parquet").option("compression", "zstd").bucketBy(blocks, "block").saveAsTable(name)
     laid = spark.table(name)
-    body, ident = alias[text], alias["doc_id"]
     narrow = laid.select("block", ident, body)
 
     def nulls_first(group: pa.Table) -> pa.Table:
@@ -198,7 +184,7 @@ def remove_repeated_windows(docs: DataFrame, width: int = 20, text: str = "text"
         return _messages(group["block"][0].as_py(), parts)
 
     kept_name = "kept_sha256" if digests else "kept_text"
-    out_schema = T.StructType([T.StructField(alias[c], held.schema[c].dataType) for c in own] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(kept_name, T.StringType())])
+    out_schema = T.StructType([held.schema[f"c{i}"] for i in range(len(own))] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(kept_name, T.StringType())])
 
     def finish(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows:
@@ -225,7 +211,7 @@ def remove_repeated_windows(docs: DataFrame, width: int = 20, text: str = "text"
                 words = [words[i] for i in np.flatnonzero(~gone[x:y]).tolist()]
             joined = b" ".join(words)
             kept.append(hashlib.sha256(joined).hexdigest() if digests else joined.decode("utf-8"))
-        cols = {alias[c]: group[alias[c]] for c in own}
+        cols = {f"c{i}": group[f"c{i}"] for i in range(len(own))}
         return pa.table(cols | {"n_words": pa.array(np.diff(block.first)), "n_removed": pa.array(removed), kept_name: pa.array(kept, pa.string())})
 
     cells = narrow.groupBy("block").applyInArrow(send_cells, _MESSAGE)
