@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import kept_columns, named
 from .storage import written
 
 #: numpy draws exactly below this population; larger ones are drawn by _large.
@@ -90,13 +91,7 @@ def _is_scan(df: DataFrame) -> bool:
     return all(line.lstrip("+-: ").startswith(("Project", "Relation")) for line in lines if line.strip()) and any("parquet" in line for line in lines)
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name = "_" + name
-    return name
-
-
-def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 17, chunk_rows: int = 8192, block_rows: int = 65536) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 17, chunk_rows: int = 4096, block_rows: int = 65536, most_sources: int = 16384) -> DataFrame:
     """Deals all rows of ``df`` uniformly into ``shards`` whose row counts differ by one at most.
 
     Adds ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard, in shuffled order); columns of
@@ -104,21 +99,24 @@ def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 17, chunk_ro
     their own; an empty table gives an empty result.  Sources are blocks of ``block_rows`` rows of a file:
     a row's place depends on its file and position, never on how a scan is split or a task is run again.
     (Anything but a plain Parquet scan is first written to the shared folder.)  Every shard is cut into
-    chunks of about ``chunk_rows`` rows; the matrix deals to chunks, so no task holds a whole shard.  Whole
-    rows cross the network once.  The driver holds one count for each block of ``block_rows`` rows.
+    chunks of about ``chunk_rows`` rows, each a partition of its own; the matrix deals to chunks, so no task
+    holds a whole shard.  Blocks and chunks grow with the table where it would have more than
+    ``most_sources`` of them, so the matrix stays bounded (files apart, each of which has a block at least).
+    Whole rows cross the network once.  The driver holds one count for each block.
     """
-    df = df.drop("shard", "slot")
-    if not _is_scan(df) or "_metadata" in df.columns:
-        df = written(df.withColumnRenamed("_metadata", _free_name(df, "metadata_in")))
-    file, at, to = (_free_name(df, x) for x in ("in_file", "in_row", "to_chunk"))
-    rows = df.withColumns({file: F.col("_metadata.file_path"), at: F.col("_metadata.row_index")})
-    blocks = sorted((r[0], r[1], r[2]) for r in rows.groupBy(file, F.floor(F.col(at) / block_rows)).count().collect())
+    df = df.select(*(named(c) for c in kept_columns(df, None, ["shard", "slot"])))
+    own, n = df.columns, len(df.columns)
+    if not _is_scan(df) or "_metadata" in (c.lower() for c in own):
+        df = written(df.toDF(*(f"c{i}" for i in range(n))))
+    rows = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), "*").toDF("file", "at", *(f"c{i}" for i in range(n)))
+    total = df.count()
+    block_rows, chunk_rows = (max(x, -(-total // most_sources)) for x in (block_rows, chunk_rows))
+    blocks = sorted((r[0], r[1], r[2]) for r in rows.groupBy("file", F.floor(F.col("at") / block_rows)).count().collect())
     sizes = np.array([b[2] for b in blocks], np.int64)
-    total = int(sizes.sum())
     each = [total // shards + (s < total % shards) for s in range(shards)]
     chunk_shard, chunk_from, chunk_size = [], [], []
-    for s, n in enumerate(each):
-        edges = np.linspace(0, n, max(1, math.ceil(n / chunk_rows)) + 1).astype(np.int64)
+    for s, size in enumerate(each):
+        edges = np.linspace(0, size, max(1, math.ceil(size / chunk_rows)) + 1).astype(np.int64)
         chunk_shard += [s] * (len(edges) - 1)
         chunk_from += edges[:-1].tolist()
         chunk_size += np.diff(edges).tolist()
@@ -136,17 +134,16 @@ def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 17, chunk_ro
             return labels
 
         for batch in batches:
-            position = batch.column(file_at + 1).to_numpy()
-            files = batch.column(file_at).to_pylist()
+            files, position = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             got = np.empty(len(position), np.int32)
             edges = [0, *(i for i in range(1, len(files)) if files[i] != files[i - 1] or position[i] // block_rows != position[i - 1] // block_rows), len(files)]
             for lo, hi in zip(edges, edges[1:]):
                 if hi > lo:
                     got[lo:hi] = permuted(number[files[lo], int(position[lo]) // block_rows])[position[lo:hi] % block_rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got), pa.array(shard[got]), pa.array(begin[got])], names=[*batch.schema.names, to, "shard", "first_slot__"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got), pa.array(shard[got]), pa.array(begin[got])], names=schema.names)
 
-    file_at = len(df.columns)
-    schema = T.StructType([*rows.schema.fields, T.StructField(to, T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("first_slot__", T.LongType())])
-    dealt = rows.mapInArrow(deal, schema)
-    again = Window.partitionBy(to).orderBy(F.xxhash64(F.lit(seed), file, at), file, at)
-    return dealt.withColumn("slot", F.col("first_slot__") + F.row_number().over(again) - 1).select(*df.columns, "shard", "slot")
+    schema = T.StructType([*rows.schema.fields, T.StructField("chunk", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("begin", T.LongType())])
+    dealt = rows.mapInArrow(deal, schema).repartitionById(len(chunk_size), F.col("chunk"))
+    again = Window.partitionBy("chunk").orderBy(F.xxhash64(F.lit(seed), "file", "at"), "file", "at")
+    slot = (F.col("begin") + F.row_number().over(again) - 1).alias("slot")
+    return dealt.select(*(f"c{i}" for i in range(n)), "shard", slot).toDF(*own, "shard", "slot")
