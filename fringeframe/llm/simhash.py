@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from . import textscan as ts
 from .components import component_roots
+from .frames import kept_columns, neutral
 from .storage import written
 
 _LOWER = bytes(ts.LOWER)
@@ -44,15 +45,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", carry: list[str] | None = None, shingle: int = 3) -> DataFrame:
     """Adds ``fingerprint`` (long, the bits as a signed number) to the carried columns."""
-    own = [c for c in (docs.columns if carry is None else carry) if c != "fingerprint"]
-    schema = T.StructType([docs.schema[c] for c in own] + [T.StructField("fingerprint", T.LongType())])
+    own = kept_columns(docs, carry, ["fingerprint"])
+    given = neutral(docs, own, body=text)
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = np.array([fingerprint(t, shingle) for t in batch.column(text).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(got)], names=[*own, "fingerprint"])
+            got = np.array([fingerprint(t, shingle) for t in batch.column(len(own)).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got)], names=schema.names)
 
-    return docs.select(*dict.fromkeys([*own, text])).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema).toDF(*own, "fingerprint")
 
 
 class VantageTree:
@@ -91,20 +93,20 @@ class VantageTree:
 
 
 def _bucket_links(prints: np.ndarray, at: np.ndarray, radius: int) -> list[np.ndarray]:
-    """A spanning star of each group of linked fingerprints among ``at``, compared in full, in blocks of rows."""
-    label, n = np.arange(len(at)), len(at)
-    mine = prints[at]
-    near = [np.nonzero(np.bitwise_count(mine[lo : lo + 512, None] ^ mine[None, :]) <= radius) for lo in range(0, n, 512)]
-    a, b = np.concatenate([x[0] + 512 * k for k, x in enumerate(near)]), np.concatenate([x[1] for x in near])
-    if len(a) == n:
-        return []
+    """A spanning star of each group of linked fingerprints among ``at``, compared in full, in blocks of rows of
+    bounded size: labels fall to the least of a group, links themselves are not kept."""
+    n, mine = len(at), prints[at]
+    label, rows = np.arange(n), max(1, (1 << 22) // n)
     while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        new = new[new]
-        if (new == label).all():
+        before = label.copy()
+        for lo in range(0, n, rows):
+            near = np.bitwise_count(mine[lo : lo + rows, None] ^ mine[None, :]) <= radius
+            if n <= rows and near.sum() == n:
+                return []
+            label[lo : lo + rows] = np.where(near, label[None, :], n).min(axis=1)
+        label = label[label]
+        if (label == before).all():
             break
-        label = new
     moved = np.flatnonzero(label != np.arange(n))
     return [np.stack([at[moved], at[label[moved]]], axis=1)]
 
@@ -131,7 +133,8 @@ def near_components(prints: DataFrame, radius: int = 2, shard_rows: int = 4096,
     """(fingerprint, component) for a table of (fingerprint, first): component is the least ``first`` reachable
     over links of at most ``radius`` bits.  ``prints`` has each fingerprint once.
 
-    The tree is built on the driver from 64 fingerprints a shard on average, for at most 2**most_depth shards.
+    The tree is built on the driver from 64 fingerprints a shard on average, for at most 2**most_depth shards;
+    where that leaves larger shards, their tasks carry the tree on by themselves.
     """
     total = prints.count()
     depth = min(most_depth, max(0, math.ceil(math.log2(max(1, total / shard_rows)))))
@@ -169,7 +172,11 @@ def simhash_groups(docs: DataFrame, radius: int = 2, text: str = "text", carry:
     a component.  ``carry`` defaults to doc_id; columns named like a result are replaced.  Copies are never
     expanded: trees and links hold each distinct fingerprint once.
     """
-    own = [c for c in (["doc_id"] if carry is None else carry) if c not in ("fingerprint", "component_id")]
-    prints = written(fingerprints(docs, text, list(dict.fromkeys([*own, "doc_id"])), shingle))
-    first = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
-    return prints.join(near_components(first, radius), "fingerprint").select(*own, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+    own = kept_columns(docs, ["doc_id"] if carry is None else carry, ["fingerprint", "component_id"])
+    given = neutral(docs, own, ident="doc_id", body=text)
+    prints = written(fingerprints(given, "body", given.columns[:-1], shingle))
+    first = written(prints.groupBy("fingerprint").agg(F.min("ident").alias("first")))
+    # The map is a table of its own, so that adaptive execution can split the join at a hot fingerprint.
+    of = written(near_components(first, radius))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return prints.join(of, "fingerprint").select(*given.columns[: len(own)], digits, "component").toDF(*own, "fingerprint", "component_id")
