@@ -11,11 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan as ts
+from .frames import kept_columns, named, neutral
+from .storage import written
 
 #: Byte classes: blank, newline, lower, upper, digit, full stop and comma, ! and ?, symbols, brackets and quotes, other ASCII, beyond ASCII.
 _CLASS = np.full(256, 9, np.int64)
@@ -37,7 +40,7 @@ FEATURES = _CLASSES + _CLASSES**2 + 6
 
 @dataclass(frozen=True)
 class PuSettings:
-    """``positives`` and ``unlabelled``: bounds of the rows learned from; ``steps`` of gradient descent at
+    """``positives`` and ``unlabelled``: bounds of the rows that the gradient runs over; ``steps`` of gradient descent at
     ``rate`` with weight decay ``decay``; ``sure`` is the score that predicts 1, and the bias is raised until
     at most ``lost`` of the trusted positives learned from score less."""
 
@@ -50,17 +53,27 @@ class PuSettings:
     lost: float = 0.001
 
 
+def _class_shares(data: np.ndarray, offsets: np.ndarray, out: np.ndarray) -> None:
+    """Counts byte classes and pairs of neighbouring ones of each document, a piece of the text at a time."""
+    docs, total = len(offsets) - 1, np.zeros(out.shape, np.int64)
+    for lo in range(0, len(data), ts.CHUNK_BYTES):
+        # A piece holds the next one's first byte, for the pair across the edge.
+        size, hi = min(len(data) - lo, ts.CHUNK_BYTES), min(len(data), lo + ts.CHUNK_BYTES + 1)
+        a, b = np.searchsorted(offsets, lo, side="right") - 1, np.searchsorted(offsets, hi, side="left")
+        kind, owner = _CLASS[data[lo:hi]], np.repeat(np.arange(b - a), np.diff(np.clip(offsets[a : b + 1], lo, hi)))
+        one = owner[:size] * _CLASSES + kind[:size]
+        total[a:b, :_CLASSES] += np.bincount(one, minlength=(b - a) * _CLASSES).reshape(-1, _CLASSES)
+        pair = np.flatnonzero(owner[1:] == owner[:-1])
+        key = (owner[pair] * _CLASSES + kind[pair]) * _CLASSES + kind[pair + 1]
+        total[a:b, _CLASSES:] += np.bincount(key, minlength=(b - a) * _CLASSES**2).reshape(-1, _CLASSES**2)
+    out[:] = total / np.maximum(np.diff(offsets), 1)[:, None]
+
+
 def style_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Features of each whole text: shares of byte classes and of class pairs, and how much of it repeats."""
     docs = len(offsets) - 1
     out = np.zeros((docs, FEATURES), np.float32)
-    size = np.maximum(np.diff(offsets), 1)[:, None]
-    owner = np.repeat(np.arange(docs), np.diff(offsets))
-    kind = _CLASS[data]
-    out[:, :_CLASSES] = np.bincount(owner * _CLASSES + kind, minlength=docs * _CLASSES).reshape(docs, -1) / size
-    pair = np.flatnonzero(owner[1:] == owner[:-1])
-    key = (owner[pair] * _CLASSES + kind[pair]) * _CLASSES + kind[pair + 1]
-    out[:, _CLASSES : _CLASSES + _CLASSES**2] = np.bincount(key, minlength=docs * _CLASSES**2).reshape(docs, -1) / size
+    _class_shares(data, offsets, out[:, : _CLASSES + _CLASSES**2])
     starts, ends, first = ts.spans(data, offsets)
     words = np.diff(first)
     each = np.repeat(np.arange(docs), words)
@@ -80,38 +93,53 @@ def style_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled, from scores: the least ratio of the two upper tails, each
-    held off by its sampling error.  Right where the highest scores are positives' alone."""
-    if not len(positive) or not len(unlabelled):
+def _prior_from_tails(p: np.ndarray, u: np.ndarray, positives: int, unlabelled: int) -> float:
+    """The least ratio of the two upper tails, each held off by its sampling error."""
+    if not positives or not unlabelled:
         return 0.5
-    edge = np.unique(np.quantile(positive, np.linspace(0.02, 0.98, 97)))
-    p = 1 - np.searchsorted(np.sort(positive), edge) / len(positive)
-    u = 1 - np.searchsorted(np.sort(unlabelled), edge) / len(unlabelled)
-    error = np.sqrt(np.log(20) / 2 / len(positive)) + np.sqrt(np.log(20) / 2 / len(unlabelled))
+    error = np.sqrt(np.log(20) / 2 / positives) + np.sqrt(np.log(20) / 2 / unlabelled)
     best = int(np.argmin((u + error) / np.maximum(p, 1e-9)))
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.05, 0.98))
 
 
+def estimate_prior(positive: np.ndarray, tail) -> float:
+    """Share of positives among the unlabelled, from scores; right where the highest scores are positives' alone.
+
+    ``tail``: scores of the unlabelled, or a function of score edges that returns how many reach each, and of how many.
+    """
+    if not callable(tail):
+        ordered = np.sort(tail)
+        return estimate_prior(positive, lambda edges: (len(ordered) - np.searchsorted(ordered, edges), len(ordered)))
+    if not len(positive):
+        return 0.5
+    edges = np.unique(np.quantile(positive, np.linspace(0.02, 0.98, 97)))
+    above, n = tail(edges)
+    return _prior_from_tails(1 - np.searchsorted(np.sort(positive), edges) / len(positive), above / max(n, 1), len(positive), n)
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
 class PuModel:
-    """Linear logistic model over standardised features, learned by full-batch gradient steps (Adam)."""
+    """Linear logistic model over standardised features, learned by full-batch gradient steps (Adam).
+
+    ``moments``: mean and deviation of the features, of all rows given by default; ``tail``: what the prior is
+    estimated from, a function of the model and score edges, by default every other one of ``unlabelled``."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, settings: PuSettings):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, settings: PuSettings, moments: tuple[np.ndarray, np.ndarray] | None = None, tail=None):
         self.settings = settings
         both = np.concatenate([positive, unlabelled]).astype(np.float64)
-        self.centre = both.mean(axis=0) if len(both) else np.zeros(FEATURES)
-        self.scale = 1 / (both.std(axis=0) + 1e-3) if len(both) else np.ones(FEATURES)
+        if moments is None:
+            moments = (both.mean(axis=0), both.std(axis=0)) if len(both) else (np.zeros(FEATURES), np.ones(FEATURES))
+        self.centre, self.scale = moments[0], 1 / (moments[1] + 1e-3)
         p, u = self._inputs(positive), self._inputs(unlabelled)
         self.weights, self.prior = np.zeros(FEATURES + 1), 0.5
         if len(p) and len(u):
             # A plain separation of every other row ranks the rest, which so yield the prior.
             a, b = p[::2], u[::2]
-            rank = self._descend(lambda w: (-(1 - _sigmoid(a @ w)) @ a / len(a) + _sigmoid(b @ w) @ b / len(b)) / 2)
-            self.prior = estimate_prior(p[1::2] @ rank, u[1::2] @ rank)
+            self.weights = self._descend(lambda w: (-(1 - _sigmoid(a @ w)) @ a / len(a) + _sigmoid(b @ w) @ b / len(b)) / 2)
+            self.prior = estimate_prior(p[1::2] @ self.weights, u[1::2] @ self.weights if tail is None else lambda edges: tail(self, edges))
             self.weights = self._descend(lambda w: self._risk_gradient(p, u, w))
             self.weights[-1] += max(0.0, np.log(settings.sure / (1 - settings.sure)) - np.quantile(p @ self.weights, settings.lost))
 
@@ -135,47 +163,90 @@ class PuModel:
             w = w - self.settings.rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         return w
 
+    def margin(self, features: np.ndarray) -> np.ndarray:
+        return self._inputs(features) @ self.weights
+
     def score(self, features: np.ndarray) -> np.ndarray:
-        return _sigmoid(self._inputs(features) @ self.weights)
+        return _sigmoid(self.margin(features))
 
 
-def _feature_rows(rows: DataFrame, most: int) -> np.ndarray:
-    """Features of at most ``most`` of a table's texts, computed where the texts are."""
+def _feature_table(plain: DataFrame) -> DataFrame:
+    """(row, doc_id, x) of a table (doc_id, text): each row's number and features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, offsets = ts.utf8(batch.column(1))
             for lo, hi in ts.chunks(offsets):
                 x = style_features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(x))), batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], names=["row", "doc_id", "x"])
+                at += len(x)
+
+    return written(plain.mapInArrow(run, T.StructType([T.StructField("row", T.LongType()), plain.schema["doc_id"], T.StructField("x", T.BinaryType())])))
+
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    got = sorted((r["doc_id"], bytes(r["x"])) for r in rows.mapInArrow(run, f"doc_id {kind}, x binary").limit(most).collect())
-    return np.frombuffer(b"".join(x for _, x in got), np.float32).reshape(-1, FEATURES)
+def _matrix(bodies: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(bodies), np.float32).reshape(-1, FEATURES)
+
+
+def _sums(table: DataFrame, each) -> np.ndarray:
+    """The sum of ``each(rows, features)``, a vector of one length, over all batches of a feature table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                total = total + each(part.column(0).to_numpy(), _matrix(part.column(1).to_pylist()))
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["k", "v"])
+
+    rows = table.select("row", "x").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    return np.array([r["v"] for r in sorted(rows)])
+
+
+def _moments(table: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and deviation of the features over all documents."""
+    sums = _sums(table, lambda rows, x: np.r_[len(x), x.sum(axis=0, dtype=np.float64), np.square(x, dtype=np.float64).sum(axis=0)])
+    if not len(sums):
+        return None
+    mean = sums[1 : FEATURES + 1] / sums[0]
+    return mean, np.sqrt(np.maximum(sums[FEATURES + 1 :] / sums[0] - mean**2, 0))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, settings: PuSettings = PuSettings(), text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Adds ``score`` (0 to 1, higher: rather of quality) and ``predicted`` (int) to every document.
 
     ``labels`` has ``doc_id`` and ``quality``; ``learn`` says by doc_id which labels may be learned from, and
-    of those only positives are read.  The model is fitted on at most ``positives`` of them and on
-    ``unlabelled`` documents picked by hash without regard to labels; every document is scored by its whole
-    text.  Null and empty texts have all-zero features and their score; null ids are not learned from; a
-    document with both labels counts as positive; without positives or documents every score is 0.5.
-    Rows stand alone, repeated ones too; columns named like a result are replaced.  ``carry``: input columns
-    to return, all by default.  Nothing is shuffled but the bounded rows learned from.
+    of those only positives are read.  The gradient runs over at most ``positives`` of them and ``unlabelled``
+    documents, those of least hash of their row; the features' mean and deviation, and the score tails that
+    give the class prior, are taken over all documents (those the ranking was learned from apart).  Every
+    document is scored by its whole text.  Null and empty texts have all-zero features and their score; null
+    ids are not learned from; a document with both labels counts as positive, and of several texts of one id
+    that of least features; without positives or documents every score is 0.5.  Rows stand alone, repeated
+    ones too; columns named like a result are replaced.  ``carry``: input columns to return, all by default.
+    Features, some 600 bytes a document, are written once; nothing is shuffled but the rows learned from.
     """
     spark = docs.sparkSession
-    own = [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
-    plain = docs.select("doc_id", F.col(text).alias("text")).where(F.col("doc_id").isNotNull())
+    own = kept_columns(docs, carry, ["score", "predicted"])
+    table = _feature_table(docs.select("doc_id", named(text).alias("text")))
     trusted = labels.where(learn & (F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     picked = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.positives).collect()
-    kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)])
-    wanted = spark.createDataFrame([(r[0],) for r in picked], kind)
-    positive = _feature_rows(plain.join(F.broadcast(wanted), "doc_id"), 2 * settings.positives)
-    share = min(1.0, settings.unlabelled / max(1, plain.count()))
-    unlabelled = _feature_rows(plain.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30))), 2 * settings.unlabelled)
-    model = spark.sparkContext.broadcast(PuModel(positive, unlabelled, settings))
+    wanted = spark.createDataFrame([(r[0],) for r in picked], T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]))
+    positive = table.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
+    unlabelled = table.select("row", "x").orderBy(F.xxhash64("row", F.lit(29)), "row").limit(settings.unlabelled).collect() if positive else []
+    ranked = np.array([r["row"] for r in unlabelled[::2]], np.int64)
+
+    def tail(model: PuModel, edges: np.ndarray) -> tuple[np.ndarray, int]:
+        def above(rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+            at = np.sort(model.margin(x)[~np.isin(rows, ranked)])
+            return np.r_[len(at) - np.searchsorted(at, edges), len(at)].astype(float)
+
+        sums = _sums(table, above)
+        return sums[:-1], int(sums[-1])
+
+    model = PuModel(_matrix([r["x"] for r in positive]), _matrix([r["x"] for r in unlabelled]), settings, _moments(table), tail)
+    model = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,5 +256,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, settings: P
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(own))), pa.array(score), pa.array((score >= settings.sure).astype(np.int32))], names=schema.names)
 
-    schema = T.StructType([docs.schema[c] for c in own] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(*own, F.col(text).alias("text__")).mapInArrow(run, schema)
+    given = neutral(docs, own, body=text)
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return given.mapInArrow(run, schema).toDF(*own, "score", "predicted")
