@@ -2,7 +2,8 @@
 
 Counts are quantised to levels 1 + floor(log_b(count)); the filter holds an n-gram once for each level up to
 its own, and a reader probes level after level until one is missing.  The filter is cut into regions by the
-n-gram's hash, so that the reducer that counts a slice of n-grams also fills that slice's region.
+n-gram's hash and grows with the corpus: the reducer that counts a slice of n-grams fills that slice's region
+and answers the probes, so no region has to fit more than its reducer's memory.
 """
 
 from __future__ import annotations
@@ -19,11 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
+from .frames import kept_columns, neutral
 from .storage import written
 
-_ID_BITS = 17
-_KEY_BITS = 2 * _ID_BITS
-_KEY_MASK = np.uint64((1 << _KEY_BITS) - 1)
 _SPREAD = np.uint64(0x2545F4914F6CDD1D)
 _PROBES = 4
 _MAX_LEVEL = 60
@@ -31,19 +30,12 @@ _MAX_LEVEL = 60
 
 @dataclass(frozen=True)
 class LmSettings:
-    """Bounds and smoothing: without ``vocabulary`` every word has bigrams and the filter grows with the corpus.
-    With it, only so many of the most frequent words (of at most ``word_bytes`` bytes) have, and the filter has
-    ``filter_bits`` bits at most, so where the corpus has more, the least frequent levels are left out.  An
-    entry has ``bits_per_entry`` bits; ``least_level`` is the first level held (2: from the second count on),
-    without ``vocabulary``; ``mu`` is the weight of the unigram prior in counts."""
-
-    vocabulary: int | None = None
-    word_bytes: int = 64
-    filter_bits: int = 1 << 28
+    """Every word and every bigram of the training rows takes part.  An entry of the filter has ``bits_per_entry``
+    bits; levels are powers of ``log_base``; ``mu`` is the weight of the unigram prior in counts."""
+
     bits_per_entry: int = 12
     log_base: float = 1.5
     mu: float = 500.0
-    least_level: int = 2
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -54,33 +46,6 @@ def _from_planes(body: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(4, n).T).view("<u4").ravel()
 
 
-class ClosedWords:
-    """Words that have bigrams: sorted hashes, their counts, and the end mark's id."""
-
-    def __init__(self, words: list[bytes], counts: list[int], end_count: int):
-        data, offsets = ts.utf8(pa.array([w.decode("utf-8") for w in words], pa.string()))
-        h = ts.span_hashes(data, offsets[:-1], offsets[1:])
-        by = np.argsort(h)
-        self.hashes, self.end = h[by], len(words)
-        self.counts = np.r_[np.array(counts, np.int64)[by] if words else np.zeros(0, np.int64), end_count]
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Id of each word, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, np.int64)
-        spot = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[spot] == hashes, spot, -1)
-
-
-def _scan(batch: pa.RecordBatch, at: int):
-    """Chunks of a batch: first row, number of rows, lower-cased bytes, word starts, ends, first word of each row, hashes."""
-    data, offsets = ts.utf8(batch.column(at))
-    for lo, hi in ts.chunks(offsets):
-        part = ts.LOWER[data[offsets[lo] : offsets[hi]]]
-        starts, ends, first = ts.spans(part, offsets[lo : hi + 1] - offsets[lo])
-        yield lo, hi - lo, part, starts, ends, first, ts.span_hashes(part, starts, ends)
-
-
 def _transitions(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(history, word, row) of every token, the end of each row among them; a row starts from the end mark."""
     rows, n = len(first) - 1, len(ids)
@@ -91,164 +56,44 @@ def _transitions(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarr
     return history, word, np.repeat(np.arange(rows), np.diff(first) + 1)
 
 
-def _spread_keys(history: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """A bijection of the bigrams of ids to 34-bit numbers whose high bits are mixed."""
-    key = (history.astype(np.uint64) << np.uint64(_ID_BITS)) | word.astype(np.uint64)
-    key = (key * _SPREAD) & _KEY_MASK
-    key ^= key >> np.uint64(_KEY_BITS // 2)
-    return (key * _SPREAD) & _KEY_MASK
-
-
-def _bits(keys: np.ndarray, level: np.ndarray | int, region_bits: int) -> list[np.ndarray]:
-    """Positions of an entry's probes in its region."""
-    a = ts.mix(keys + (np.asarray(level).astype(np.uint64) << np.uint64(40)))
+def _bits(keys: np.ndarray, level: int, size: int) -> list[np.ndarray]:
+    """Positions of an entry's probes in a filter of ``size`` bits, a power of two."""
+    a = ts.mix(keys + (np.uint64(level) << np.uint64(40)))
     b = ts.mix(a ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
-    return [((a + np.uint64(i) * b) >> np.uint64(20)).astype(np.int64) & (region_bits - 1) for i in range(_PROBES)]
+    return [((a + np.uint64(i) * b) >> np.uint64(20)).astype(np.int64) & (size - 1) for i in range(_PROBES)]
 
 
 def levels(counts: np.ndarray, base: float) -> np.ndarray:
-    """1 + floor(log_base(count))."""
-    return np.minimum(1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(base) + 1e-9).astype(np.int64), _MAX_LEVEL)
+    """1 + floor(log_base(count)); 0 for none."""
+    level = np.minimum(1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(base) + 1e-9).astype(np.int64), _MAX_LEVEL)
+    return np.where(np.asarray(counts) > 0, level, 0)
 
 
 class LogFrequencyFilter:
-    """The filter as one bit array of equal regions; levels under ``least`` are left out."""
-
-    def __init__(self, regions: int, region_bits: int, least: int, base: float):
-        self.regions, self.region_bits, self.least, self.base = regions, region_bits, least, base
-        self.bits = np.zeros(max(1, regions * region_bits // 8), np.uint8)
-
-    def region_of(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(_KEY_BITS - self.regions.bit_length() + 1)).astype(np.int64) if self.regions > 1 else np.zeros(len(keys), np.int64)
-
-    @staticmethod
-    def fill(keys: np.ndarray, level: np.ndarray, least: int, region_bits: int) -> bytes:
-        """A region's bits, from the keys of its slice."""
-        bits = np.zeros(region_bits, np.uint8)
-        for j in range(least, int(level.max(initial=0)) + 1):
-            mine = keys[level >= j]
-            for p in _bits(mine, j, region_bits):
-                bits[p] = 1
-        return np.packbits(bits, bitorder="little").tobytes()
-
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Least count of the quantised level of each key, 0 where it isn't held."""
-        out, live, offset = np.zeros(len(keys)), np.arange(len(keys)), self.region_of(keys) * self.region_bits
-        for j in range(self.least, _MAX_LEVEL + 1):
-            if not len(live):
-                break
+    """One region: as many bits as its entries need, rounded up to a power of two."""
+
+    def __init__(self, keys: np.ndarray, level: np.ndarray, bits_per_entry: int):
+        self.size = max(64, 1 << math.ceil(math.log2(max(1, int(level.sum()) * bits_per_entry))))
+        bits = np.zeros(self.size, np.uint8)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            for at in _bits(keys[level >= j], j, self.size):
+                bits[at] = 1
+        self.bits = np.packbits(bits, bitorder="little")
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Level up to which every entry of a key is held; never under the true one."""
+        out, live = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for j in range(1, _MAX_LEVEL + 1):
             held = np.ones(len(live), bool)
-            for p in _bits(keys[live], j, self.region_bits):
-                at = offset[live] + p
+            for at in _bits(keys[live], j, self.size):
                 held &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             live = live[held]
-            out[live] = max(1.0, self.base ** (j - 1))
+            if not len(live):
+                break
+            out[live] = j
         return out
 
 
-def _vocabulary(train: DataFrame) -> DataFrame:
-    """(word, c) of the training rows; the end mark is the empty word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, rows, data, starts, ends, _, h in _scan(batch, 0):
-                _, at, n = np.unique(h, return_index=True, return_counts=True)
-                words = ts.take_spans(data, starts[at], ends[at])
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays([words, pa.array([""])]), pa.array(np.r_[n, rows])], names=["word", "n"])
-
-    return written(train.select("lm_text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c")))
-
-
-def _closed(vocabulary: DataFrame, settings: LmSettings) -> ClosedWords:
-    """The most frequent words, whole octaves of counts (in eighths) as long as they fit the bound."""
-    level = F.floor(F.log2("c") * 8)
-    fits = (F.octet_length("word") <= settings.word_bytes) & (F.col("word") != "")
-    held, least = 0, None
-    for r in sorted(vocabulary.where(fits).groupBy(level.alias("k")).count().collect(), reverse=True):
-        if held + r[1] > settings.vocabulary:
-            break
-        held, least = held + r[1], r[0]
-    end = vocabulary.where("word = ''").select("c").first()
-    rows = vocabulary.where(fits & (level >= least)).collect() if least is not None else []
-    rows = sorted((r["word"].encode("utf-8"), r["c"]) for r in rows)
-    return ClosedWords([r[0] for r in rows], [r[1] for r in rows], end[0] if end else 0)
-
-
-def _bigram_filter(train: DataFrame, closed, tokens: int, settings: LmSettings) -> LogFrequencyFilter:
-    """Counts the training bigrams of closed words and builds the filter."""
-    spark = train.sparkSession
-    regions = 1 << max(0, math.ceil(math.log2(max(1, tokens / (1 << 20)))))
-    shift = np.uint64(_KEY_BITS - regions.bit_length() + 1)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = closed.value
-        held, size = [], 0
-
-        def flush():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            part = (keys >> shift).astype(np.int64) if regions > 1 else np.zeros(len(keys), np.int64)
-            edge = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(keys)] if len(keys) else np.zeros(1, np.int64)
-            rows = []
-            for a, b in zip(edge, edge[1:]):
-                gap = np.diff((keys[a:b] - (np.uint64(part[a]) << shift if regions > 1 else np.uint64(0))).astype(np.int64), prepend=0)
-                rows.append((int(part[a]), int(b - a), _planes(gap & 0xFFFFFFFF), _planes(gap >> 32), _planes(n[a:b])))
-            held.clear()
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])], names=["slice", "n", "low", "high", "counts"])
-
-        for batch in batches:
-            for _, _, _, _, _, first, h in _scan(batch, 0):
-                history, word, _ = _transitions(words.ids(h), first, words.end)
-                both = (history >= 0) & (word >= 0)
-                held.append(_spread_keys(history[both], word[both]))
-                size += len(held[-1])
-                if size >= 1 << 21:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
-
-    def merge(group: pa.Table) -> pa.Table:
-        keys, counts = [], []
-        for n, low, high, c in zip(*(group[x].to_pylist() for x in ("n", "low", "high", "counts"))):
-            gap = _from_planes(low, n).astype(np.int64) | (_from_planes(high, n).astype(np.int64) << 32)
-            keys.append(np.cumsum(gap))
-            counts.append(_from_planes(c, n).astype(np.int64))
-        if not keys:
-            return pa.table({"slice": pa.array([], pa.int32()), "keys": pa.array([], pa.binary()), "levels": pa.array([], pa.binary()), "entries": pa.array([], pa.list_(pa.int64()))})
-        got, back = np.unique(np.concatenate(keys), return_inverse=True)
-        level = levels(np.bincount(back, weights=np.concatenate(counts)).astype(np.int64), settings.log_base)
-        often = level > 1
-        got, level = got[often], level[often]
-        slice_ = group["slice"][0].as_py()
-        entries = np.bincount(level, minlength=_MAX_LEVEL + 1)
-        return pa.table({"slice": pa.array([slice_], pa.int32()), "keys": pa.array([got.astype("<i8").tobytes()], pa.binary()), "levels": pa.array([level.astype(np.uint8).tobytes()], pa.binary()), "entries": pa.array([entries.tolist()], pa.list_(pa.int64()))})
-
-    merged = written(train.select("lm_text").mapInArrow(send, "slice int, n int, low binary, high binary, counts binary").groupBy("slice").applyInArrow(merge, "slice int, keys binary, levels binary, entries array<long>"))
-    have = np.zeros(_MAX_LEVEL + 1, np.int64)
-    for r in merged.select(F.posexplode("entries").alias("k", "n")).groupBy("k").agg(F.sum("n")).collect():
-        have[r[0]] = r[1]
-    # entries[j]: entries of the filter if levels start at j
-    entries = [int(sum(have[q] * (q - j + 1) for q in range(j, _MAX_LEVEL + 1))) for j in range(_MAX_LEVEL + 1)]
-    least = next(j for j in range(2, _MAX_LEVEL + 1) if entries[j] * settings.bits_per_entry <= settings.filter_bits)
-    wanted = min(settings.filter_bits, max(1, entries[least] * settings.bits_per_entry))
-    region_bits = max(64, 1 << math.ceil(math.log2(max(1, wanted / regions))))
-    while region_bits > 64 and region_bits * regions > settings.filter_bits:
-        region_bits //= 2
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s, keys, level in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                bits = LogFrequencyFilter.fill(np.frombuffer(keys, "<i8").astype(np.uint64), np.frombuffer(level, np.uint8).astype(np.int64), least, region_bits)
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits], pa.binary())], names=["slice", "bits"])
-
-    out = LogFrequencyFilter(regions, region_bits, least, settings.log_base)
-    for r in merged.select("slice", "keys", "levels").mapInArrow(fill, "slice int, bits binary").toLocalIterator():
-        at = r[0] * region_bits // 8
-        out.bits[at : at + region_bits // 8] = np.frombuffer(r[1], np.uint8)
-    return out
-
-
 def _lookups(h: np.ndarray, first: np.ndarray):
     """(history, word, row, bigram key) of every token, by hashes; the end mark's hash is 0."""
     history, word, row = _transitions(h.view(np.int64), first, 0)
@@ -265,12 +110,26 @@ def _unpacked(blob: bytes, at: int):
     return part, first, *_lookups(ts.span_hashes(low, starts, ends), first)
 
 
-def _score_open(docs: DataFrame, train: Column, settings: LmSettings, text: str, own: list[str]) -> DataFrame:
-    """``score_documents`` with every word and bigram.  Each chunk of rows sends its distinct words and bigrams,
-    with their training counts, to the slices of the hashes; a slice adds the counts up, fills its own region of
-    the filter, as large as its entries need, and answers the chunks in the order of their keys."""
+def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSettings(), text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Adds token counts and log10 probabilities of every whole text under a model of the rows where ``train`` holds.
+
+    Tokens: words (runs of other characters than space and \\x09-\\x0D, A-Z lower-cased), then an end.  Adds
+    ``n_tokens``, ``n_known`` (tokens seen in training), ``train_tokens`` (long), ``base_score`` (sum over
+    tokens of log10((c + 0.5) / (N + 0.5 * (V + 1)))) and ``score``: with p1 that unigram probability, h the
+    token before (the end, at the start), c2 the filter's count of the bigram and c1 the count of h,
+    P = (c2 + mu * p1) / (c1 + mu).  Unigram counts are exact for every word; words and bigrams are told apart
+    by 64-bit hashes.  A null or empty text is an end; a null ``train`` is false; without training rows every
+    probability is 1 of 1.  Rows stand alone, repeated ones too; an empty table gives an empty result;
+    columns named like a result are replaced.  ``carry``: input columns to return, all by default.
+
+    Each chunk of rows sends its distinct words and bigrams, with their training counts, to the slices of the
+    hashes; a slice adds the counts up, fills its own region of the filter, and answers the chunks in the order
+    of their keys.
+    """
+    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    own = kept_columns(docs, carry, made)
     names, at = [f"c{i}" for i in range(len(own))], len(own)
-    given = docs.select(*(F.col(c).alias(n) for c, n in zip(own, names)), F.coalesce(F.col(text), F.lit("")).alias("lm_text"), F.coalesce(train, F.lit(False)).alias("lm_train"))
+    given = neutral(docs, own, lm_text=text, lm_train=train).withColumns({"lm_text": F.coalesce("lm_text", F.lit("")), "lm_train": F.coalesce("lm_train", F.lit(False))})
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cid = TaskContext.get().partitionId() << 32
@@ -317,13 +176,7 @@ def _score_open(docs: DataFrame, train: Column, settings: LmSettings, text: str,
         if slice_ < slices:
             types, tokens = int((total > 0).sum()), int(total.sum())
         else:
-            level = np.where(total > 0, levels(total, settings.log_base), 0)
-            entries = int(np.maximum(level - settings.least_level + 1, 0).sum())
-            bits = max(64, 1 << math.ceil(math.log2(max(1, entries * settings.bits_per_entry))))
-            region = LogFrequencyFilter(1, bits, settings.least_level, settings.log_base)
-            region.bits = np.frombuffer(LogFrequencyFilter.fill(got, level, settings.least_level, bits), np.uint8)
-            held = region.count(got)
-            value = np.where(held > 0, np.round(np.log(np.maximum(held, 1)) / math.log(settings.log_base)).astype(np.int64) + 1, 0)
+            value = LogFrequencyFilter(got, levels(total, settings.log_base), settings.bits_per_entry).levels(got)
         edge = np.r_[0, np.cumsum(number)]
         bodies = [zlib.compress(value[back[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1) for a, b in zip(edge, edge[1:])]
         none = [0] * (len(cid) - 1)
@@ -351,83 +204,6 @@ def _score_open(docs: DataFrame, train: Column, settings: LmSettings, text: str,
         cols = [*(part.column(k) for k in range(at)), pa.array(np.diff(first) + 1), pa.array(sums[0].astype(np.int64)), pa.array(np.full(rows, int(total))), pa.array(sums[1]), pa.array(sums[2])]
         return pa.Table.from_arrays(cols, names=[*names, *made])
 
-    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kinds = "".join(f"{n} {given.schema[n].dataType.simpleString()}, " for n in names)
     scored = chunks.select("cid", "body").groupBy("cid").cogroup(answers.select("cid", "slice", "n", "answer").groupBy("cid")).applyInArrow(score, kinds + "n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scored.select(*(F.col(n).alias(c) for n, c in zip(names, own)), *made)
-
-
-def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSettings(), text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Adds token counts and log10 probabilities of every whole text under a model of the rows where ``train`` holds.
-
-    Tokens: words (runs of other characters than space and \\x09-\\x0D, A-Z lower-cased), then an end.  Adds
-    ``n_tokens``, ``n_known`` (tokens seen in training), ``train_tokens`` (long), ``base_score`` (sum over
-    tokens of log10((c + 0.5) / (N + 0.5 * (V + 1)))) and ``score``: with p1 that unigram probability, h the
-    token before (the end, at the start), c2 the filter's count of the bigram and c1 the count of h,
-    P = (c2 + mu * p1) / (c1 + mu).  Unigram counts are exact for every word; words and bigrams are told apart
-    by 64-bit hashes.  With a bounded vocabulary, words outside it have c1 = 0 as history; its words come from
-    a broadcast, all others by a join on the word.  A null or empty text is an end; a null ``train`` is false; without training rows
-    every probability is 1 of 1.  Rows stand alone, repeated ones too; an empty table gives an empty result;
-    columns named like a result are replaced.  ``carry``: input columns to return, all by default.
-    """
-    spark = docs.sparkSession
-    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    own = [c for c in (docs.columns if carry is None else carry) if c not in made]
-    if settings.vocabulary is None:
-        return _score_open(docs, train, settings, text, own)
-    learn = docs.where(F.coalesce(train, F.lit(False))).select(F.col(text).alias("lm_text"))
-    vocabulary = _vocabulary(learn)
-    total, types = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    closed = spark.sparkContext.broadcast(_closed(vocabulary, settings))
-    filter_ = spark.sparkContext.broadcast(_bigram_filter(learn, closed, total, settings))
-    scale = total + 0.5 * (types + 1)
-    mu = settings.mu
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bloom = closed.value, filter_.value
-        for batch in batches:
-            for lo, rows, data, starts, ends, first, h in _scan(batch, at):
-                ids = words.ids(h)
-                history, word, row = _transitions(ids, first, words.end)
-                known = word >= 0
-                c = np.where(known, words.counts[np.maximum(word, 0)], 0)
-                c1 = np.where(history >= 0, words.counts[np.maximum(history, 0)], 0)
-                c2 = np.zeros(len(word))
-                pair = np.flatnonzero(known & (history >= 0))
-                key, back = np.unique(_spread_keys(history[pair], word[pair]), return_inverse=True)
-                c2[pair] = np.minimum(bloom.count(key)[back], c1[pair])
-                common = np.log10(c + 0.5)
-                model = np.where(known, np.log10((c2 + mu * (c + 0.5) / scale) / (c1 + mu)), np.log10(mu / (c1 + mu)) - math.log10(scale))
-                rare = np.flatnonzero(ids < 0)
-                owner = np.repeat(np.arange(rows), np.diff(first))[rare]
-                by = rare[np.lexsort((h[rare], owner))]
-                own_by = np.repeat(np.arange(rows), np.diff(first))[by]
-                lead = np.flatnonzero(np.r_[True, (np.diff(own_by) != 0) | (np.diff(h[by]) != 0)][: len(by)])
-                n = np.diff(np.r_[lead, len(by)])
-                spot = by[lead]
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(own_by[lead], np.arange(rows + 1)).astype(np.int32)), pa.StructArray.from_arrays([ts.take_spans(data, starts[spot], ends[spot]), pa.array(n)], ["word", "n"]))
-                part = batch.slice(lo, rows)
-                sums = [np.bincount(row, weights=x, minlength=rows) for x in (np.where(known & (c > 0), 1, 0), np.where(known, common, 0.0), model)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in range(len(own))), pa.array(np.diff(first) + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), lists],
-                    names=[*names, "n_tokens", "n_known_closed", "base_closed", "score_closed", "rare"],
-                )
-
-    names = [f"c{i}" for i in range(len(own))]
-    given = docs.select(*(F.col(c).alias(n) for c, n in zip(own, names)), F.col(text).alias("lm_text"))
-    at = len(own)
-    kinds = ", ".join(f"{n} {given.schema[n].dataType.simpleString()}" for n in names)
-    schema = (kinds + ", " if names else "") + "n_tokens long, n_known_closed long, base_closed double, score_closed double, rare array<struct<word:string,n:long>>"
-    local = written(given.mapInArrow(run, schema).withColumn("rid", F.monotonically_increasing_id()))
-    rest = local.select("rid", F.explode("rare").alias("w")).select("rid", F.col("w.word").alias("word"), F.col("w.n").alias("n")).join(vocabulary, "word", "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    rest = rest.groupBy("rid").agg(F.sum(F.col("n") * F.log10(c + F.lit(0.5))).alias("rest_log"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("rest_known"))
-    rest_log = F.coalesce("rest_log", F.lit(0.0))
-    return local.join(rest, "rid", "left").select(
-        *(F.col(n).alias(c) for n, c in zip(names, own)),
-        "n_tokens",
-        (F.col("n_known_closed") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base_closed") + rest_log - F.col("n_tokens") * F.lit(math.log10(scale))).alias("base_score"),
-        (F.col("score_closed") + rest_log).alias("score"),
-    )
+    return scored.toDF(*own, *made)

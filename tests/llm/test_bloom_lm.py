@@ -3,11 +3,11 @@ import re
 from collections import Counter
 
 import numpy as np
-import pytest
 from docs import documents, frame
 from pyspark.sql import functions as F
 
-from fringeframe.llm.bloom_lm import LmSettings, LogFrequencyFilter, _spread_keys, levels, score_documents
+from fringeframe.llm import textscan as ts
+from fringeframe.llm.bloom_lm import LmSettings, LogFrequencyFilter, levels, score_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -16,50 +16,53 @@ def tokens(text):
     return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) + [""]
 
 
-def brute(rows, learn, closed_size, settings):
+def brute(rows, learn, settings):
+    """Scores as a filter that invents nothing gives them."""
     c = Counter(w for r in rows if learn(r) for w in tokens(r[1]))
     n, v = sum(c.values()), len(c)
     scale = n + 0.5 * (v + 1)
-    groups = {}
-    for w, k in c.items():
-        if w and len(w.encode()) <= settings.word_bytes:
-            groups.setdefault(math.floor(math.log2(k) * 8), []).append(w)
-    closed = {""}
-    for g in sorted(groups, reverse=True):
-        if len(closed) - 1 + len(groups[g]) > closed_size:
-            break
-        closed |= set(groups[g])
     pairs = Counter()
     for r in rows:
         if learn(r):
             t = [""] + tokens(r[1])
-            pairs.update((a, b) for a, b in zip(t, t[1:]) if a in closed and b in closed)
+            pairs.update(zip(t, t[1:]))
     out = []
     for r in rows:
         t = tokens(r[1])
         base = sum(math.log10((c[w] + 0.5) / scale) for w in t)
         score = 0.0
         for a, b in zip([""] + t, t):
-            q = int(levels(np.array([pairs[a, b]]), settings.log_base)[0]) if pairs[a, b] else 0
-            c2 = settings.log_base ** (q - 1) if q > 1 else 0.0
-            c1 = c[a] if a in closed else 0
-            score += math.log10((min(c2, c1) + settings.mu * (c[b] + 0.5) / scale) / (c1 + settings.mu))
+            q = math.floor(math.log(pairs[a, b]) / math.log(settings.log_base) + 1e-9) if pairs[a, b] else None
+            c2 = 0.0 if q is None else settings.log_base**q
+            score += math.log10((min(c2, c[a]) + settings.mu * (c[b] + 0.5) / scale) / (c[a] + settings.mu))
         out.append((r[0], len(t), sum(c[w] > 0 for w in t), n, round(base, 6), round(score, 6)))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("closed", [20, 100000])
-def test_matches_brute_force(spark, closed):
-    rows = documents()
+def scored(spark, rows, settings, learn=F.col("doc_id") % 3 != 1):
+    got = score_documents(frame(spark, rows), learn, settings, carry=["doc_id", "lang"]).collect()
+    return sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=str)
+
+
+def test_matches_brute_force(spark):
+    rows = [(i, t * 2, "en", "s") for i, t in enumerate(["a" * 700 + " b c " * 3, "b " + "é" * 50 + " c ", "b c a"])] + documents()
     # Wide entries make false positives of the filter very rare.
-    settings = LmSettings(vocabulary=closed, bits_per_entry=120, mu=5.0)
-    got = score_documents(frame(spark), F.col("doc_id") % 3 != 1, settings, carry=["doc_id", "lang"]).collect()
-    got = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=str)
-    want = brute(rows, lambda r: r[0] is not None and r[0] % 3 != 1, closed, settings)
+    settings = LmSettings(bits_per_entry=120, mu=5.0)
+    got, want = scored(spark, rows, settings), brute(rows, lambda r: r[0] is not None and r[0] % 3 != 1, settings)
     assert [g[:4] for g in got] == [w[:4] for w in want]
     assert np.allclose([g[4:] for g in got], [w[4:] for w in want], atol=1e-5)
 
 
+def thue_morse(a, b, n):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+
+
+def test_words_that_differ_by_a_complement_are_two(spark):
+    x, y = thue_morse("a", "b", 2048), thue_morse("b", "a", 2048)
+    got = scored(spark, [(0, x, "en", "s"), (1, y, "en", "s")], LmSettings())
+    assert [g[2] for g in got] == [2, 1]
+
+
 def test_empty_tables(spark):
     assert score_documents(frame(spark, []), F.lit(True)).collect() == []
     got = score_documents(frame(spark), F.lit(False)).collect()
@@ -68,41 +71,18 @@ def test_empty_tables(spark):
 
 def test_filter_never_forgets_and_seldom_invents():
     rng = np.random.default_rng(2)
-    keys = _spread_keys(rng.integers(0, 60000, 20000), rng.integers(0, 60000, 20000))
-    keys = np.unique(keys)
-    level = levels(rng.integers(1, 5000, len(keys)), 1.5)
-    out = LogFrequencyFilter(1, 1 << 23, 2, 1.5)
-    out.bits = np.frombuffer(LogFrequencyFilter.fill(keys, level, 2, 1 << 23), np.uint8)
-    want = np.where(level > 1, 1.5 ** (level - 1.0), 0)
-    got = out.count(keys)
-    assert (got >= want - 1e-9).all() and (got > want + 1e-9).mean() < 0.01
-    other = np.setdiff1d(_spread_keys(rng.integers(60000, 65000, 20000), rng.integers(0, 60000, 20000)), keys)
-    assert (out.count(other) > 0).mean() < 0.01
-
-
-def test_keys_are_spread_one_to_one():
-    rng = np.random.default_rng(3)
-    a, b = rng.integers(0, 1 << 17, 100000), rng.integers(0, 1 << 17, 100000)
-    assert len(np.unique(_spread_keys(a, b))) == len(np.unique(a << 17 | b))
-
-
-def test_every_word_and_bigram_takes_part(spark):
-    rows = [(i, t * 2, "en", "s") for i, t in enumerate(["a" * 70 + " b c " * 3, "b " + "é" * 50 + " c ", "b c a"])] + documents()
-    settings = LmSettings(bits_per_entry=120, filter_bits=64, word_bytes=64, mu=5.0)
-    got = score_documents(frame(spark, rows), F.col("doc_id") % 3 != 1, settings, carry=["doc_id"]).collect()
-    got = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=str)
-    want = brute(rows, lambda r: r[0] is not None and r[0] % 3 != 1, 1 << 30, LmSettings(word_bytes=1 << 30, mu=5.0))
-    assert [g[:4] for g in got] == [w[:4] for w in want]
-    assert np.allclose([g[4:] for g in got], [w[4:] for w in want], atol=1e-5)
-
-
-def test_filter_grows_with_its_entries_and_can_hold_bigrams_seen_once(spark):
-    rows = [(0, "a b c", "en", "s"), (1, "a b c", "en", "s"), (2, "d e", "en", "s")]
-    once, twice = (
-        {r["doc_id"]: r["score"] for r in score_documents(frame(spark, rows), F.lit(True), LmSettings(bits_per_entry=120, filter_bits=64, mu=5.0, least_level=k), carry=["doc_id"]).collect()}
-        for k in (1, 2)
-    )
-    assert once[2] > twice[2] + 0.1 and abs(once[0] - twice[0]) < 1e-9
-    # Frequent bigrams stay held however small the old bound of the filter.
-    free = {r["doc_id"]: r["score"] for r in score_documents(frame(spark, rows), F.lit(True), LmSettings(bits_per_entry=120, mu=5.0), carry=["doc_id"]).collect()}
-    assert all(abs(free[k] - twice[k]) < 1e-9 for k in free)
+    keys = np.unique(ts.mix(rng.integers(0, 1 << 60, 20000).astype(np.uint64)))
+    level = levels(rng.integers(0, 5000, len(keys)), 1.5)
+    got = LogFrequencyFilter(keys, level, 12).levels(keys)
+    assert (got >= level).all() and (got > level).mean() < 0.02
+    other = np.setdiff1d(ts.mix(rng.integers(1 << 61, 1 << 62, 20000).astype(np.uint64)), keys)
+    assert (LogFrequencyFilter(keys, level, 12).levels(other) > 0).mean() < 0.02
+
+
+def test_bigrams_seen_once_count_and_the_filter_grows(spark):
+    rows = [(0, "a b c", "en", "s"), (1, "d e", "en", "s"), (2, "e d", "en", "s")]
+    got = {g[0]: g[5] for g in scored(spark, rows, LmSettings(bits_per_entry=120, mu=5.0), F.col("doc_id") < 2)}
+    assert got[1] > got[2] + 0.1
+    keys = np.arange(1, 100001, dtype=np.uint64)
+    small, large = (LogFrequencyFilter(ts.mix(keys[:n]), np.ones(n, np.int64), 12) for n in (1000, 100000))
+    assert large.size >= 64 * small.size
