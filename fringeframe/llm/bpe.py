@@ -8,8 +8,8 @@ of the right token's.  The check walks both spines in merge order, for all pairs
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,11 +20,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .frames import kept_columns, neutral
+
 _NONE = 1 << 40
-#: A text is cut at blanks first.
-_CHUNK = re.compile(r"[^ \t-\r]+")
-#: What a worker process knows of chunks, by the tokenizer file's digest; it outlives a task.
-_KNOWN: dict[str, dict[str, tuple[int, str, str]]] = {}
+#: What a worker process knows of chunks (number of tokens, ids, decoded text), by the tokenizer file's digest, with
+#: its rough size in bytes; bounded, so it may outlive a task.
+_KNOWN: dict[str, tuple[dict[bytes, tuple[int, bytes, bytes]], list[int]]] = {}
+#: Words of more units are merged by a heap, chunks of more bytes are not remembered.
+_LONG = 64
 _UNMERGED = (1 << 40, -1)
 _SIGMA = str.maketrans({"Σ": "σ"})
 
@@ -108,6 +111,8 @@ class WordBpe:
 
     def merge(self, units: list[int], made: dict | None = None) -> list[int]:
         """Exact merging: again and again the pair of lowest rank, leftmost first."""
+        if len(units) > _LONG:
+            return self._merge_long(units)
         units, pair = list(units), self.rank.get
         ranks = [pair(p, _UNMERGED)[0] for p in zip(units, units[1:])]
         while ranks and (best := min(ranks)) < _NONE:
@@ -123,6 +128,27 @@ class WordBpe:
                 ranks[k] = pair((node, units[k + 1]), _UNMERGED)[0]
         return units
 
+    def _merge_long(self, units: list[int]) -> list[int]:
+        """The same for long words: pairs wait in a heap by rank and place, neighbours are linked."""
+        units, pair, n = list(units), self.rank.get, len(units)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(pair(p, _UNMERGED)[0], k) for k, p in enumerate(zip(units, units[1:]))]
+        heap = [x for x in heap if x[0] < _NONE]
+        heapq.heapify(heap)
+        while heap:
+            rank, k = heapq.heappop(heap)
+            right = after[k]
+            # A pair that has changed since it was pushed has another rank, or none.
+            if units[k] < 0 or right >= n or pair((units[k], units[right]), _UNMERGED)[0] != rank:
+                continue
+            units[k], units[right], after[k] = self.result[rank], -1, after[right]
+            if after[k] < n:
+                before[after[k]] = k
+            for left in (before[k], k):
+                if left >= 0 and after[left] < n and (got := pair((units[left], units[after[left]]))):
+                    heapq.heappush(heap, (got[0], left))
+        return [u for u in units if u >= 0]
+
     def propose(self, word: str) -> list[int] | None:
         """Greedy longest match over the word's letters and the mark of its end; None if it gets stuck."""
         letters = (word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.translation)) + "\n" * bool(self.suffix)
@@ -232,7 +258,7 @@ def load_word_bpe(path: str) -> WordBpe:
 _ENCODED = ["n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"]
 
 
-def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", carry: list[str] | None = None, digests: bool = False, cache_chunks: int = 300_000) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", carry: list[str] | None = None, digests: bool = False, cache_bytes: int = 48 << 20) -> DataFrame:
     """Encodes every whole text and decodes it again.
 
     Adds ``n_tokens`` (long), ``ids`` (array of int) and ``decoded`` (string), or with ``digests`` their
@@ -240,41 +266,49 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", car
     UTF-8 bytes.  ``carry``: input columns to return, all by default; columns named like a result are
     replaced.  A null or empty text has no tokens and decodes to "".  Special tokens' strings in a text
     become their ids.  Rows are handled one by one, in any number of copies; no shuffle.  The broadcast
-    model is as large as its file; a worker keeps the encodings of ``cache_chunks`` words at most and
+    model is as large as its file; a worker remembers some ``cache_bytes`` of words' encodings at most and
     works the others out again in each batch.
     """
     model = docs.sparkSession.sparkContext.broadcast(load_word_bpe(tokenizer_path))
-    own = [c for c in (docs.columns if carry is None else carry) if c not in _ENCODED]
+    own = kept_columns(docs, carry, _ENCODED)
+    given = neutral(docs, own, body=text)
     kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     made = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
-    schema = T.StructType([docs.schema[c] for c in own] + [T.StructField(c, kinds[c]) for c in made])
+    schema = T.StructType([*given.schema.fields[:-1], *(T.StructField(c, kinds[c]) for c in made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model.value
-        known = _KNOWN.setdefault(bpe.digest, {})
+        known, size = _KNOWN.setdefault(bpe.digest, ({}, [0]))
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                texts = [_CHUNK.findall(t) if t else [] for t in part.column(text).to_pylist()]
-                fresh = list({c for cs in texts for c in cs}.difference(known))
-                new = {c: (len(ids), " ".join([bpe.id_text[i] for i in ids]), " ".join([bpe.text[i] for i in ids])) for c, ids in zip(fresh, bpe.encode_chunks(fresh))}
-                if len(known) < cache_chunks:
-                    known |= new
-                    new = {}
+                # Bytes split at the very blanks at which no word goes on.
+                texts = [t.split() if t else [] for t in part.column(len(own)).cast(pa.binary()).to_pylist()]
+                fresh = list(set().union(*texts).difference(known))
+                new = {}
+                for c, ids in zip(fresh, bpe.encode_chunks([c.decode("utf-8") for c in fresh])):
+                    new[c] = (len(ids), " ".join([bpe.id_text[i] for i in ids]).encode(), " ".join([bpe.text[i] for i in ids]).encode("utf-8"))
+                if size[0] < cache_bytes:
+                    short = {c: x for c, x in new.items() if len(c) <= _LONG}
+                    size[0] += sum([300 + len(c) + len(x[1]) + len(x[2]) for c, x in short.items()])
+                    known |= short
                 counts, ids, decoded = [], [], []
                 for cs in texts:
                     got = [known.get(c) or new[c] for c in cs]
-                    counts.append(sum([g[0] for g in got]))
-                    ids.append(" ".join([g[1] for g in got if g[0]]))
-                    decoded.append(" ".join([g[2] for g in got if g[0]]))
+                    each = tuple(zip(*got)) or ((), (), ())
+                    if 0 in each[0]:
+                        each = tuple(zip(*(g for g in got if g[0]))) or ((), (), ())
+                    counts.append(sum(each[0]))
+                    ids.append(b" ".join(each[1]))
+                    decoded.append(b" ".join(each[2]))
                 if digests:
-                    out = [[hashlib.sha256(x.encode("utf-8")).hexdigest() for x in xs] for xs in (ids, decoded)]
+                    out = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in (ids, decoded)]
                     cols = [pa.array(counts, pa.int64()), *(pa.array(x, pa.string()) for x in out)]
                 else:
-                    cols = [pa.array(counts, pa.int64()), pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *cols], names=own + made)
+                    cols = [pa.array(counts, pa.int64()), pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())), pa.array(decoded, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(own))), *cols], names=schema.names)
 
-    return docs.select(*dict.fromkeys([*own, text])).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema).toDF(*own, *made)
 
 
 def tokenizer_file(spark: SparkSession, name: str = "word_bpe_49k.json") -> str:
