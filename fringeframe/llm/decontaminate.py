@@ -13,11 +13,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textscan as ts
+from .frames import named
 
 _SPREAD_BITS = 23
 #: Lower case of the basic plane's characters, where it is one character.
@@ -42,47 +42,44 @@ def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def gram_hashes(chars: np.ndarray, offsets: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
     """Position and hash of every q-gram that lies in one text."""
-    return ts.window_hashes(ts.mix(chars.astype(np.uint64)), offsets, q, 0)
+    return ts.window_hashes(chars.astype(np.uint64), offsets, q)
 
 
 @dataclass
 class _Items:
-    """A block of benchmark items: q-gram postings, and the items as padded rows."""
+    """A block of benchmark items: their characters one after the other, and q-gram postings."""
 
     ids: list
     chars: np.ndarray
+    at: np.ndarray
     length: np.ndarray
     edits: np.ndarray
     bound: np.ndarray
+    step: np.ndarray
     grams: np.ndarray
     begin: np.ndarray
     item: np.ndarray
     place: np.ndarray
     q: int
-    step: int
 
     @staticmethod
     def build(rows: list[tuple], q: int, rate: float, min_chars: int) -> _Items:
         data, offsets = ts.utf8(pa.array([r[1].strip(" \t\n\r\x0b\x0c") for r in rows], pa.string()))
         chars, at = characters(data, offsets)
         length = np.diff(at)
-        edits = np.minimum((rate * length).astype(np.int64), np.maximum(0, (length - q) // q))
-        used = length >= min_chars
+        # Short items must be there as they are.
+        edits = np.where(length >= min_chars, np.minimum((rate * length).astype(np.int64), np.maximum(0, (length - q) // q)), 0)
         position, gram = gram_hashes(chars, at, q)
         item = np.searchsorted(at, position, side="right") - 1
-        fine = used[item] if len(item) else np.zeros(0, bool)
-        position, gram, item = position[fine], gram[fine], item[fine]
         by = np.argsort(gram, kind="stable")
         grams, begin = np.unique(gram[by], return_index=True)
-        padded = np.full((len(rows), int(length.max(initial=0))), _NO_ITEM, np.uint32)
-        for k in range(len(rows)):
-            padded[k, : length[k]] = chars[at[k] : at[k + 1]]
-        step = max(16, int(edits.max(initial=0)) + 1)
-        return _Items([r[0] for r in rows], padded, length, edits, length - q + 1 - q * edits, grams, np.r_[begin, len(by)], item[by].astype(np.int64), (position - at[item])[by], q, step)
+        step = np.maximum(16, edits + 1)
+        return _Items([r[0] for r in rows], chars, at, length, edits, length - q + 1 - q * edits, step, grams, np.r_[begin, len(by)], item[by].astype(np.int32), (position - at[item])[by].astype(np.int32), q)
 
 
 def _candidates(chars: np.ndarray, offsets: np.ndarray, items: _Items, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, item, band) of the bands with enough shared q-grams."""
+    """(document, item, band) of the bands with enough shared q-grams.  A band is two of its item's steps wide and
+    starts every step; an item's diagonals are shifted by its length, so that none is negative."""
     position, gram = gram_hashes(chars, offsets, items.q)
     maybe = spread[(gram >> np.uint64(64 - _SPREAD_BITS)).astype(np.int64)]
     position, gram = position[maybe], gram[maybe]
@@ -91,10 +88,9 @@ def _candidates(chars: np.ndarray, offsets: np.ndarray, items: _Items, spread: n
     position, spot = position[hit], spot[hit]
     many = items.begin[spot + 1] - items.begin[spot]
     post = np.repeat(items.begin[spot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    position, item = np.repeat(position, many), items.item[post]
+    position, item = np.repeat(position, many), items.item[post].astype(np.int64)
     doc = np.searchsorted(offsets, position, side="right") - 1
-    # Diagonals are shifted by the longest item, so that none is negative.
-    band = (position - offsets[doc] - items.place[post] + items.chars.shape[1]) // items.step
+    band = (position - offsets[doc] - items.place[post] + items.length[item]) // items.step[item]
     bands = int(band.max(initial=0)) + 2
     key = (doc * len(items.ids) + item) * bands + band
     key, count = np.unique(np.r_[key, key - 1], return_counts=True)
@@ -106,13 +102,14 @@ def _candidates(chars: np.ndarray, offsets: np.ndarray, items: _Items, spread: n
 
 def _align(chars: np.ndarray, offsets: np.ndarray, items: _Items, doc: np.ndarray, item: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fewest edits of each whole item against a substring on the band's diagonals, with the substring's ends."""
-    reach = int(items.edits.max(initial=0)) + 1
-    low = band * items.step - items.chars.shape[1] - reach
-    wide = 2 * items.step + 2 * reach
-    longest = int(items.length[item].max(initial=0))
+    step, reach, length = items.step[item], items.edits[item] + 1, items.length[item]
+    low = band * step - length - reach
+    wide, longest = int((2 * step + 2 * reach).max()), int(length.max())
     column = low[:, None] + np.arange(wide + longest)[None, :]
     inside = (column >= 0) & (column < np.diff(offsets)[doc][:, None])
     region = np.where(inside, chars[np.clip(offsets[doc][:, None] + column, 0, max(0, len(chars) - 1))], _NO_DOC)
+    place = np.arange(longest)[None, :]
+    wanted = np.where(place < length[:, None], items.chars[np.minimum(items.at[item][:, None] + place, len(items.chars) - 1)], _NO_ITEM)
     one = np.int64(1) << 32
     slope = np.arange(wide) * one
     # A cell holds edits and, below them, where its path began.
@@ -120,10 +117,10 @@ def _align(chars: np.ndarray, offsets: np.ndarray, items: _Items, doc: np.ndarra
     best = np.full(len(doc), 1 << 62, np.int64)
     end = np.zeros(len(doc), np.int64)
     for i in range(longest):
-        new = cell + np.where(region[:, i : i + wide] != items.chars[item, i][:, None], one, 0)
+        new = cell + np.where(region[:, i : i + wide] != wanted[:, i][:, None], one, 0)
         new[:, :-1] = np.minimum(new[:, :-1], cell[:, 1:] + one)
         cell = np.minimum.accumulate(new - slope, axis=1) + slope
-        last = np.flatnonzero(items.length[item] == i + 1)
+        last = np.flatnonzero(length == i + 1)
         if len(last):
             to = cell[last].argmin(axis=1)
             best[last], end[last] = cell[last, to], low[last] + to + i + 1
@@ -131,36 +128,46 @@ def _align(chars: np.ndarray, offsets: np.ndarray, items: _Items, doc: np.ndarra
     return best >> 32, np.clip(low + (best & (one - 1)), 0, size), np.clip(end, 0, size)
 
 
-def _find(chars: np.ndarray, offsets: np.ndarray, items: _Items, spread: np.ndarray, batch: int = 256) -> list[tuple[int, int, int, int, int]]:
-    """(document, item, start, end, edits), the best place of each pair."""
+def _find(chars: np.ndarray, offsets: np.ndarray, items: _Items, spread: np.ndarray, batch: int = 256, cells: int = 1 << 22) -> list[tuple[int, int, int, int, int]]:
+    """(document, item, start, end, edits), the best place of each pair; items of like length are aligned together,
+    at most ``batch`` and in matrices of some ``cells`` at once (of a longer item one)."""
     doc, item, band = _candidates(chars, offsets, items, spread)
+    by = np.argsort(items.length[item], kind="stable")
+    doc, item, band = doc[by], item[by], band[by]
+    need = items.length[item] + 2 * items.step[item] + 2 * items.edits[item] + 2
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for lo in range(0, len(doc), batch):
-        part = slice(lo, lo + batch)
+    lo = 0
+    while lo < len(doc):
+        hi = min(len(doc), lo + batch)
+        while hi - lo > 1 and (hi - lo) * need[hi - 1] > cells:
+            hi = lo + (hi - lo) // 2
+        part = slice(lo, hi)
         edits, start, end = _align(chars, offsets, items, doc[part], item[part], band[part])
         for d, k, e, s, t in zip(doc[part].tolist(), item[part].tolist(), edits.tolist(), start.tolist(), end.tolist()):
             if e <= items.edits[k]:
                 found[d, k] = min(found.get((d, k), (e, s, t)), (e, s, t))
+        lo = hi
     return [(d, k, s, t, e) for (d, k), (e, s, t) in found.items()]
 
 
-def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.10, min_chars: int = 40, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text", block_chars: int = 1 << 20) -> DataFrame:
+def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.10, min_chars: int = 40, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text", block_chars: int = 1 << 22) -> DataFrame:
     """A row (key, item_key, ``start``, ``end``, ``edits``) for each document and benchmark item it holds.
 
     A document holds an item if a substring is within ``edit_rate`` of the item's characters (fewer where q
-    allows fewer) of the whole item, after characters are lower-cased one by one and runs of blanks made one space; start and
-    end count characters of the text so normalised, at the first of the best places.  Items under
-    ``min_chars`` characters are no evidence and are not looked for, nor are null ones; null and empty texts
-    hold nothing.  Repeated rows and repeated items give a row each; an empty table on either side gives an
-    empty result; other columns are ignored.  Items are taken in blocks of ``block_chars`` characters, each
-    broadcast for one narrow pass over the documents: nothing is shuffled.
+    allows fewer) of the whole item, after characters are lower-cased one by one and runs of blanks made one
+    space; start and end count characters of the text so normalised, at the first of the best places.  Items
+    under ``min_chars`` characters must be there without an edit; those under ``q``, and null ones, are no
+    evidence and are not looked for; null and empty texts hold nothing.  Repeated rows and repeated items give
+    a row each; an empty table on either side gives an empty result; other columns, of any name, are ignored.
+    Items are taken in blocks of ``block_chars`` characters (some 25 bytes each in a worker), each broadcast
+    for one narrow pass over the documents: nothing is shuffled.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("doc_key"), F.col(text).alias("doc_text"))
+    rows = docs.select(named(key).alias("doc_key"), named(text).alias("doc_text"))
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField(item_key, benchmark.schema[item_key].dataType), *(T.StructField(c, T.IntegerType()) for c in ("start", "end", "edits"))])
     item_type = to_arrow_type(benchmark.schema[item_key].dataType)
     blocks, size = [[]], 0
-    for r in benchmark.select(item_key, item_text).where(F.col(item_text).isNotNull()).orderBy(item_key, item_text).toLocalIterator():
+    for r in benchmark.select(named(item_key).alias("k"), named(item_text).alias("t")).where("t IS NOT NULL").orderBy("k", "t").toLocalIterator():
         if size + len(r[1]) > block_chars and blocks[-1]:
             blocks.append([])
             size = 0
@@ -170,7 +177,7 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, e
     for block in blocks:
         if not block:
             continue
-        items = _Items.build(block, q, edit_rate, max(min_chars, q))
+        items = _Items.build(block, q, edit_rate, min_chars)
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

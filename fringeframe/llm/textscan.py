@@ -147,12 +147,12 @@ def window_hashes(words: np.ndarray, first: np.ndarray, width: int, seed: int =
     at = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(n) >= width)
     if not len(at):
         return at, np.zeros(0, U64)
-    add, times = _constants(seed)
+    _, times = _constants(seed)
     level, size, done, out = words, 1, 0, None
     while True:
         if width & size:
             mine = level[at + done]
-            out = mix(mine + add) if out is None else mix(out * times + mine)
+            out = mine if out is None else mix(out * times + mine)
             done += size
         if 2 * size > width:
             return at, out

@@ -30,8 +30,8 @@ def brute(rows, items, q=8, rate=0.1, least=40):
     for r in rows:
         for k, t in items:
             n = plain((t or "").strip(BLANK))
-            e = min(int(rate * len(n)), max(0, (len(n) - q) // q))
-            if t is not None and len(n) >= least and (got := fewest_edits(n, plain(r[1]))) <= e:
+            e = min(int(rate * len(n)), max(0, (len(n) - q) // q)) if len(n) >= least else 0
+            if t is not None and len(n) >= q and (got := fewest_edits(n, plain(r[1]))) <= e:
                 out.append((r[0], k, got))
     return sorted(out, key=str)
 
