@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
+
 #: Second-level labels that, under a two-letter top level, belong to the public suffix (fixed values).
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 
@@ -74,7 +76,8 @@ def judge_hosts(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...
     votes = outcomes.where(F.col("good").isNotNull() & F.col("page_id").isNotNull()).groupBy("page_id").agg(F.sum(F.col("good").cast("long")).alias("good"), F.count("good").alias("n"))
     hosts = pages.select("page_id", "host").join(votes, "page_id", "left").groupBy("host").agg(F.sum(F.coalesce("good", F.lit(0))).alias("good"), F.sum(F.coalesce("n", F.lit(0))).alias("n"))
     suffix, domain = suffix_and_domain(F.col("host"))
-    hosts = hosts.withColumns({"suffix": suffix, "domain": domain})
+    # Written once: everything up to the verdicts is worked out from this one count of the pages.
+    hosts = written(hosts.withColumns({"suffix": suffix, "domain": domain}))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     whole = suffixes.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
