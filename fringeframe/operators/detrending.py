@@ -18,39 +18,52 @@ from .rasters import image_array, nullable
 from .stats import with_group_value
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` without its lineage where the session names a shared folder for that."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+
+
+def _solver(n: int):
+    """Weights from the sums of normal equations, one row an image; null where they are singular or too few."""
+
+    @F.pandas_udf("array<double>")
+    def solve(count: pd.Series, sums: pd.Series) -> pd.Series:
+        upper = np.triu_indices(n)
+        out = []
+        for k, row in zip(count, sums):
+            a, b = np.zeros((n, n)), np.array(row[len(upper[0]) :], float)
+            a[upper] = np.array(row[: len(upper[0])], float)
+            a = a + np.triu(a, 1).T
+            out.append(np.linalg.solve(a, b).tolist() if k >= 3 * n and np.linalg.matrix_rank(a) == n else None)
+        return pd.Series(out)
+
+    return solve
+
+
 def fit_surfaces(pixels: DataFrame, terms: list[Column], fit: Column, mad_scale: float = 3.5, iterations: int = 5, value: str = "phase", keys: tuple[str, ...] = ("image",)) -> DataFrame:
     """Adds ``surface``, the robust least-squares combination of ``terms`` over each image's fit pixels.
 
-    Each round sums the normal equations of the pixels kept (a few numbers an image), solves them, and keeps
-    the fit pixels whose residual is within ``mad_scale`` robust deviations of the median; a last solve uses
-    the pixels kept.  Images with under three pixels a term, or singular sums, get a null surface.
+    Each round sums the normal equations of the pixels kept (a few numbers an image, solved where they are
+    summed), and then keeps the fit pixels whose residual is within ``mad_scale`` robust deviations of the median
+    of those kept so far; a last solve uses the pixels kept.  Images that begin with under three pixels a term,
+    or with singular sums, get a null surface.  Nothing is collected; a round's state is cut from its lineage.
     """
     keys, n = list(keys), len(terms)
-    base = pixels.withColumns({f"t{i}__": t for i, t in enumerate(terms)} | {"fit__": F.coalesce(fit & F.col(value).isNotNull(), F.lit(False))})
-    state = base.withColumn("keep__", F.col("fit__"))
+    state = pixels.withColumns({f"t{i}__": t for i, t in enumerate(terms)} | {"fit__": F.coalesce(fit & F.col(value).isNotNull(), F.lit(False))}).withColumn("keep__", F.col("fit__"))
+    products = [F.col(f"t{i}__") * F.col(f"t{j}__") for i in range(n) for j in range(i, n)] + [F.col(f"t{i}__") * F.col(value) for i in range(n)]
 
     def solved(df: DataFrame) -> DataFrame:
-        kept = df.where("keep__")
-        sums = [F.sum(F.col(f"t{i}__") * F.col(f"t{j}__")).alias(f"a{i}_{j}") for i in range(n) for j in range(i, n)]
-        sums += [F.sum(F.col(f"t{i}__") * F.col(value)).alias(f"b{i}") for i in range(n)]
-        rows = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums).collect()
-        out = []
-        for r in rows:
-            a = np.array([[r[f"a{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)], float)
-            ok = r["n"] >= 3 * n and np.linalg.matrix_rank(a) == n
-            w = np.linalg.solve(a, [r[f"b{i}"] for i in range(n)]).tolist() if ok else None
-            out.append((*(r[k] for k in keys), w))
-        schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", w__ array<double>"
-        weights = df.sparkSession.createDataFrame(out, schema)
+        sums = df.where("keep__").groupBy(*keys).agg(F.count(F.lit(1)).alias("n__"), F.array(*(F.sum(p) for p in products)).alias("s__"))
+        weights = sums.select(*keys, _solver(n)("n__", "s__").alias("w__"))
         total = sum((F.col(f"t{i}__") * F.col("w__")[i] for i in range(n)), F.lit(0.0))
         return df.join(weights, keys, "left").withColumn("surface", total).drop("w__")
 
     for _ in range(iterations):
         left = solved(state).withColumn("rest__", F.col(value) - F.col("surface"))
-        kept = F.when(F.col("fit__"), F.col("rest__"))
-        left = with_group_value(left, keys, F.median(kept), "middle__").withColumn("far__", F.abs(F.col("rest__") - F.col("middle__")))
-        left = with_group_value(left, keys, F.lit(1.4826) * F.median(F.when(F.col("fit__"), F.col("far__"))), "scale__")
-        state = left.withColumn("keep__", F.col("fit__") & F.coalesce(F.col("far__") <= F.lit(mad_scale) * F.col("scale__"), F.lit(False))).drop("surface", "rest__", "middle__", "far__", "scale__")
+        left = with_group_value(left, keys, F.median(F.when(F.col("keep__"), F.col("rest__"))), "middle__").withColumn("far__", F.abs(F.col("rest__") - F.col("middle__")))
+        left = with_group_value(left, keys, F.lit(1.4826) * F.median(F.when(F.col("keep__"), F.col("far__"))), "scale__")
+        near = (F.col("far__") <= F.lit(mad_scale) * F.col("scale__")) | (F.col("scale__") <= 1e-10)
+        state = _cut(left.withColumn("keep__", F.col("fit__") & F.coalesce(near, F.lit(False))).drop("surface", "rest__", "middle__", "far__", "scale__"))
     return solved(state).select(*pixels.columns, "surface", F.col("keep__").alias("fitted"))
 
 
@@ -121,22 +134,23 @@ def _orbit_design(shape: tuple[int, int], model: str, degree: int) -> np.ndarray
 
 
 def robust_surface(values: np.ndarray, design: np.ndarray, fit: np.ndarray, mad_scale: float = 3.5, iterations: int = 5) -> tuple[np.ndarray, np.ndarray, int]:
-    """Surface, pixels kept and rounds: all candidates are tested again in every round."""
-    z, candidates = values.ravel(), fit.ravel() & np.isfinite(values.ravel()) & np.isfinite(design).all(axis=1)
-    least = 3 * design.shape[1]
-    if candidates.sum() < least:
+    """Surface, pixels kept and rounds: all candidates are tested again in every round, against those kept."""
+    z = values.ravel()
+    candidates = fit.ravel() & np.isfinite(z) & np.isfinite(design).all(axis=1)
+    if candidates.sum() < 3 * design.shape[1]:
         raise ValueError("too few pixels to fit a surface")
-    keep, rounds = candidates.copy(), 0
-    for rounds in range(1, iterations + 1):
-        weights = np.linalg.lstsq(design[keep], z[keep], rcond=None)[0]
-        rest = z - design @ weights
-        middle = np.median(rest[keep])
-        now = candidates & (np.abs(rest - middle) <= mad_scale * max(images.robust_std(rest[keep]), 1e-12))
-        if now.sum() < least or (now == keep).all():
-            break
-        keep = now
-    weights = np.linalg.lstsq(design[keep], z[keep], rcond=None)[0]
-    return (design @ weights).reshape(values.shape), keep.reshape(values.shape), rounds
+
+    def solve(keep: np.ndarray) -> np.ndarray:
+        return design @ np.linalg.lstsq(design[keep], z[keep], rcond=None)[0]
+
+    keep, rounds, settled = candidates, 0, False
+    while rounds < iterations and not settled:
+        rounds += 1
+        rest = z - solve(keep)
+        scale = images.robust_std(rest[keep])
+        near = candidates if scale <= 1e-10 else candidates & (np.abs(rest - np.median(rest[keep])) <= mad_scale * scale)
+        settled, keep = np.array_equal(near, keep), near
+    return solve(keep).reshape(values.shape), keep.reshape(values.shape), rounds
 
 
 def _range(x: np.ndarray, mask: np.ndarray) -> float:
@@ -144,6 +158,14 @@ def _range(x: np.ndarray, mask: np.ndarray) -> float:
     return float(np.subtract(*np.percentile(x, [98, 2]))) if x.size else float("nan")
 
 
+def _enough(h: np.ndarray, pixels: int, bins: int, least_bins: int) -> None:
+    """Raises where there are too few pixels, or their elevations fall into too few bins."""
+    if h.size < max(10, pixels):
+        raise ValueError("too few pixels for a fit over elevation bins")
+    if len(np.unique(np.percentile(h, np.linspace(0, 100, max(3, bins) + 1)))) <= least_bins:
+        raise ValueError("the elevation varies too little for bins")
+
+
 def bin_medians(h: np.ndarray, z: np.ndarray, bins: int, least: int) -> np.ndarray:
     """(bin, 3): median elevation, median phase and count of the bins between elevation quantiles."""
     edges = np.unique(np.percentile(h, np.linspace(0, 100, max(3, bins) + 1)))
@@ -164,6 +186,7 @@ def _terrain(values: np.ndarray, h: np.ndarray, fit: np.ndarray, s: DetrendSetti
         surface, mask, rounds = robust_surface(values, np.stack(terms, axis=1), known, s.mad_scale, s.iterations)
         return surface, mask, rounds, 0
     if s.terrain_method == "binned":
+        _enough(h[known], (s.terrain_degree + 1) * s.terrain_min_bin, s.terrain_bins, s.terrain_degree + 1)
         table = bin_medians(h[known], values[known], s.terrain_bins, s.terrain_min_bin)
         if len(table) < s.terrain_degree + 1:
             raise ValueError("too few populated elevation bins")
@@ -173,6 +196,7 @@ def _terrain(values: np.ndarray, h: np.ndarray, fit: np.ndarray, s: DetrendSetti
         return (g[:, None] ** powers @ weights).reshape(h.shape), known, 1, len(table)
 
     def curve() -> tuple[np.ndarray, int]:
+        _enough(h[known], 3 * s.terrain_min_bin, s.terrain_bins, 3)
         table = bin_medians(h[known], values[known], s.terrain_bins, s.terrain_min_bin)
         if len(table) < 3:
             raise ValueError("too few populated elevation bins")
@@ -280,37 +304,50 @@ def _kind(f) -> str:
     return {"bool": "boolean", "int": "long", "float": "double", "str": "string"}[f.type]
 
 
-def detrend(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
-    """Detrends each image of (image, row, col, phase, elev[, fit, exclude]): adds ``detrended`` and ``surface``."""
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        out, surface, *_ = _detrended(frame, settings)
-        at = (frame["row"].to_numpy(int), frame["col"].to_numpy(int))
-        cols = {n: nullable(a[at]) for n, a in (("detrended", out), ("surface", surface))}
-        return pd.DataFrame({"image": key[0], "row": frame["row"], "col": frame["col"]} | cols)
+_REPORT = ", ".join(f"{f.name} {_kind(f)}" for f in fields(DetrendReport)) + ", status string"
 
-    kind = pixels.schema["image"].dataType.simpleString()
-    return pixels.groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, detrended double, surface double")
 
+def detrend_with_reports(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
+    """Detrends each image of (image, row, col, phase, elev[, fit, exclude]): adds ``detrended``, ``surface``, and
+    on one row an image its ``report``.
+
+    An image that cannot be fitted (too few pixels, a flat elevation) stays, with null results and the reason as
+    its report's ``status``, which is "ok" otherwise.
+    """
+    names = [f.name for f in fields(DetrendReport)]
 
-def detrend_reports(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
-    """One row of statistics per image."""
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{"image": key[0]} | asdict(_detrended(frame, settings)[3])])
+        given = [c for c in ("phase", "elev", "fit", "exclude") if c in frame.columns]
+        a = image_array(frame, given)
+        try:
+            out, surface, _, report, _ = detrend_image(a["phase"], a.get("elev"), a["fit"] == 1 if "fit" in a else None, a["exclude"] == 1 if "exclude" in a else None, settings)
+            report = {k: None if isinstance(v, float) and np.isnan(v) else v for k, v in asdict(report).items()} | {"status": "ok"}
+        except ValueError as e:
+            out = surface = np.full(a["phase"].shape, np.nan)
+            report = dict.fromkeys(names) | {"accepted": False, "orbit_accepted": False, "terrain_accepted": False, "valid_pixels": int(np.isfinite(a["phase"]).sum()), "status": str(e)}
+        at = (frame["row"].to_numpy(int), frame["col"].to_numpy(int))
+        cols = {n: nullable(x[at]) for n, x in (("detrended", out), ("surface", surface))}
+        return pd.DataFrame({"image": key[0], "row": frame["row"], "col": frame["col"]} | cols | {"report": [report] + [None] * (len(frame) - 1)})
 
     kind = pixels.schema["image"].dataType.simpleString()
-    return pixels.groupBy("image").applyInPandas(run, f"image {kind}, " + ", ".join(f"{f.name} {_kind(f)}" for f in fields(DetrendReport)))
+    report = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in _REPORT.split(", "))
+    return pixels.groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, detrended double, surface double, report struct<{report}>")
+
+
+def detrend(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
+    """(image, row, col, detrended, surface) of ``detrend_with_reports``."""
+    return detrend_with_reports(pixels, settings).drop("report")
 
 
-def _detrended(frame: pd.DataFrame, settings: DetrendSettings):
-    names = [c for c in ("phase", "elev", "fit", "exclude") if c in frame.columns]
-    a = image_array(frame, names)
-    return detrend_image(a["phase"], a.get("elev"), a["fit"] == 1 if "fit" in a else None, a["exclude"] == 1 if "exclude" in a else None, settings)
+def detrend_reports(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
+    """One row of statistics per image."""
+    return detrend_with_reports(pixels, settings).where("report IS NOT NULL").select("image", "report.*")
 
 
-def reference_pixels(pixel: DataFrame, shape: tuple[int, int], window: int = 5, count: int = 5) -> DataFrame | None:
-    """The best reference pixels (row, col, score, representative), or None where fewer than five qualify.
+def reference_pixels(pixel: DataFrame, shape: tuple[int, int], window: int = 5, count: int = 5, by: tuple[str, ...] = ()) -> DataFrame:
+    """The best reference pixels (by, row, col, score, representative); none where fewer than five qualify.
 
-    ``pixel`` has (row, col, valid_fraction, temporal_mad, stable[, mean_coherence]).  Score: coherence less a
+    ``pixel`` has (by, row, col, valid_fraction, temporal_mad, stable[, mean_coherence]).  Score: coherence less a
     quarter of the dispersion over its 95th percentile, or less the whole without coherence; ties by row and
     column.  Representative: the first of the best 2000 with enough stable pixels around it.
     """
@@ -321,29 +358,27 @@ def reference_pixels(pixel: DataFrame, shape: tuple[int, int], window: int = 5,
         ok = ok & (F.col("mean_coherence") > 0)
     near = pixel
     for axis, other in (("row", "col"), ("col", "row")):
-        w = Window.partitionBy(other).orderBy(axis).rangeBetween(-radius, radius)
+        w = Window.partitionBy(*by, other).orderBy(axis).rangeBetween(-radius, radius)
         near = near.withColumn("near", F.sum(F.col("near") if "near" in near.columns else F.col("stable").cast("int")).over(w))
-    candidates = near.where(F.coalesce(ok, F.lit(False)))
-    scale = candidates.agg(F.percentile("temporal_mad", F.lit(0.95))).first()[0]
-    part = F.col("temporal_mad") / F.lit(scale if scale and scale > 0 else 1.0)
-    score = F.col("mean_coherence") - F.lit(0.25) * part if coherent else -part
-    ranked = candidates.withColumn("score", score).orderBy(F.desc("score"), "row", "col").limit(max(2000, count)).select("row", "col", "score", "near").collect()
-    if len(ranked) < 5:
-        return None
+    candidates = near.where(F.coalesce(ok, F.lit(False))).withColumn("all__", F.lit(0))
+    group = ["all__", *by]
+    candidates = candidates.join(F.broadcast(candidates.groupBy(*group).agg(F.percentile("temporal_mad", F.lit(0.95)).alias("scale__"), F.count(F.lit(1)).alias("n__"))), group)
+    part = F.col("temporal_mad") / F.when(F.col("scale__") > 0, F.col("scale__")).otherwise(1.0)
+    candidates = candidates.where("n__ >= 5").withColumn("score", F.col("mean_coherence") - F.lit(0.25) * part if coherent else -part)
+    # Only the best of each task reach the ranking.
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("score"), "row", "col"))
+    ranked = candidates.withColumn("rank__", rank).where(F.col("rank__") <= max(2000, count))
     least = max(5, (2 * radius + 1) ** 2 // 2)
-    best = next(((r["row"], r["col"]) for r in ranked[:2000] if r["near"] >= least), None)
-    if best is None:
-        return None
-    rows = [(r["row"], r["col"], float(r["score"]), (r["row"], r["col"]) == best) for r in ranked[: max(5, count)]]
-    if best not in {(r[0], r[1]) for r in rows}:
-        rows.append((best[0], best[1], next(float(r["score"]) for r in ranked if (r["row"], r["col"]) == best), True))
-    return pixel.sparkSession.createDataFrame(rows, "row int, col int, score double, representative boolean")
+    fine = F.when((F.col("near") >= least) & (F.col("rank__") <= 2000), F.col("rank__"))
+    ranked = ranked.withColumn("best__", F.min(fine).over(Window.partitionBy(*group)))
+    representative = F.col("rank__") == F.col("best__")
+    return ranked.where(F.col("best__").isNotNull() & ((F.col("rank__") <= max(5, count)) | representative)).select(*by, "row", "col", "score", representative.alias("representative"))
 
 
-def zero_to_reference(pixels: DataFrame, reference: DataFrame | None, column: str = "phase") -> DataFrame:
+def zero_to_reference(pixels: DataFrame, reference: DataFrame | None, column: str = "phase", by: tuple[str, ...] = ()) -> DataFrame:
     """Takes off each image's median over the reference pixels (0 where it has none); adds ``reference_offset``."""
     if reference is None:
         return pixels.withColumn("reference_offset", F.lit(0.0))
-    offset = pixels.join(F.broadcast(reference.select("row", "col")), ["row", "col"], "left_semi").groupBy("image").agg(F.median(column).alias("reference_offset"))
+    offset = pixels.join(F.broadcast(reference.select(*by, "row", "col")), [*by, "row", "col"], "left_semi").groupBy("image").agg(F.median(column).alias("reference_offset"))
     out = pixels.join(offset, "image", "left").withColumn("reference_offset", F.coalesce("reference_offset", F.lit(0.0)))
     return out.withColumn(column, F.col(column) - F.col("reference_offset"))

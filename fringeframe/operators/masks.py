@@ -54,9 +54,10 @@ def water_mask(geo: DataFrame, highest: float = 0.0, covered: bool = True) -> Da
 
 
 def mask_water(pixels: DataFrame, geo: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls the columns on water; pixels stay as rows."""
-    wet = geo.where("water").select("row", "col", F.lit(True).alias("wet__"))
-    out = pixels.join(maybe_broadcast(wet), ["row", "col"], "left")
+    """Nulls the columns on water, by dataset where both tables have one; pixels stay as rows."""
+    on = [c for c in ("dataset", "row", "col") if c in geo.columns and c in pixels.columns]
+    wet = geo.where("water").select(*on, F.lit(True).alias("wet__"))
+    out = pixels.join(maybe_broadcast(wet), on, "left")
     return out.withColumns({c: F.when(F.col("wet__").isNull(), F.col(c)) for c in columns}).drop("wet__")
 
 

@@ -32,22 +32,32 @@ def phase_range_cycles(column: str) -> Column:
     return spread(column, 0.01, 0.99) / F.lit(TWO_PI)
 
 
-def stable_pixels(stack: DataFrame, least_fraction: float = 0.8, percentile: float = 70.0) -> DataFrame:
-    """(row, col, valid_fraction, temporal_mad, stable) of a stack (image, row, col, phase).
+def stable_pixels(stack: DataFrame, least_fraction: float = 0.8, percentile: float = 70.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, row, col, valid_fraction, temporal_mad, stable) of a stack (by, image, row, col, phase).
 
     Images are centred on their medians; a pixel's dispersion is its median distance from its own median.
-    Stable: valid often enough, and of no larger dispersion than the percentile over the valid pixels.
+    Stable: valid often enough, and of no larger dispersion than the percentile over the valid pixels (of each
+    group of ``by``, such as a dataset).
     """
-    centred = with_group_value(stack.select("image", "row", "col", "phase"), ["image"], F.median("phase"), "middle").withColumn("x", F.col("phase") - F.col("middle"))
-    centred = with_group_value(centred, ["row", "col"], F.median("x"), "centre")
-    pixel = centred.groupBy("row", "col").agg((F.count("phase") / F.count(F.lit(1))).alias("valid_fraction"), F.median(F.abs(F.col("x") - F.col("centre"))).alias("temporal_mad"))
+    centred = with_group_value(stack.select(*by, "image", "row", "col", "phase"), [*by, "image"], F.median("phase"), "middle").withColumn("x", F.col("phase") - F.col("middle"))
+    # A pixel's few images are gathered once, and both medians are taken from them.
+    pixel = centred.groupBy(*by, "row", "col").agg((F.count("phase") / F.count(F.lit(1))).alias("valid_fraction"), F.array_sort(F.collect_list("x")).alias("x__"))
+    pixel = pixel.withColumn("c__", _array_median(F.col("x__")))
+    pixel = pixel.withColumn("temporal_mad", _array_median(F.array_sort(F.transform("x__", lambda x: F.abs(x - F.col("c__")))))).drop("x__", "c__")
     often = F.col("valid_fraction") >= least_fraction
-    limit = pixel.agg(F.percentile(F.when(often, F.col("temporal_mad")), F.lit(percentile / 100)).alias("limit")).first()["limit"]
-    return pixel.withColumn("stable", F.coalesce(often & (F.col("temporal_mad") <= F.lit(limit).cast("double")), F.lit(False)))
+    limit = pixel.groupBy(*by).agg(F.percentile(F.when(often, F.col("temporal_mad")), F.lit(percentile / 100)).alias("limit__"))
+    pixel = pixel.join(F.broadcast(limit), [*by]) if by else pixel.withColumn("limit__", F.lit(limit.first()["limit__"]).cast("double"))
+    return pixel.withColumn("stable", F.coalesce(often & (F.col("temporal_mad") <= F.col("limit__")), F.lit(False))).drop("limit__")
 
 
-def mean_coherence(stack: DataFrame) -> DataFrame:
-    return stack.groupBy("row", "col").agg(F.avg("coh").alias("mean_coherence"))
+def _array_median(x: Column) -> Column:
+    """Median of a sorted array; null if it is empty."""
+    n = F.size(x)
+    return F.when(n > 0, (F.get(x, F.floor((n - 1) / 2).cast("int")) + F.get(x, F.floor(n / 2).cast("int"))) / 2)
+
+
+def mean_coherence(stack: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return stack.groupBy(*by, "row", "col").agg(F.avg("coh").alias("mean_coherence"))
 
 
 def quantile_bins(df: DataFrame, keys: list[str], x: str, y: str, bins: int = 30, least: int = 100) -> DataFrame:

@@ -186,18 +186,6 @@ def robust_plane_detrend(spark, d):
     return got.select("image", "row", "col", r6(F.col("phase") - F.col("surface")).alias("flat"), "fitted")
 
 
-@query()
-def full_detrend(spark, d):
-    s = detrending.DetrendSettings(terrain_method="pixel", terrain_strength=1.0, guard_block=4, guard_least=8, turbulence_radius=2)
-    return detrending.detrend(with_elevation(hollow(tiles(spark, d))).where(F.col("elev").isNotNull()), s)
-
-
-@query()
-def detrend_reports(spark, d):
-    s = detrending.DetrendSettings(terrain_method="pixel", terrain_strength=1.0, guard_block=4, guard_least=8, turbulence_radius=2)
-    return detrending.detrend_reports(with_elevation(tiles(spark, d)).where(F.col("elev").isNotNull()), s)
-
-
 @query(
     f"""WITH e AS (SELECT image, [quantile_cont(elev, 0.0), quantile_cont(elev, 0.25), quantile_cont(elev, 0.5), quantile_cont(elev, 0.75), quantile_cont(elev, 1.0)] AS e FROM {TE} WHERE elev IS NOT NULL GROUP BY 1),
 b AS (SELECT image, phase, elev, least(4, (SELECT count(*) FROM unnest(e) u(x) WHERE x <= elev))::INT AS bin FROM {TE} JOIN e USING (image) WHERE elev IS NOT NULL)
@@ -388,12 +376,6 @@ def bad_closure_pixels(spark, d):
     return closure.closures(_wrapped_stack(spark, d)).groupBy(*_days("a", "b", "c")).agg(F.count_if(closure.is_bad(F.col("cycles"))).alias("bad"), F.count(F.lit(1)).alias("pixels"))
 
 
-@query()
-def closure_repair(spark, d):
-    one = _wrapped_stack(spark, d).withColumns({"dataset": F.lit("d"), "coh": F.lit(1.0), "col": (F.col("row") % 10).cast("int"), "row": F.floor(F.col("row") / 10).cast("int")})
-    return closure.repair_closure_stack(one, min_pixels=4, width=1)
-
-
 _QC = f"(SELECT pair, ((d * 7 + lag * 3) % 10) / 100.0::DOUBLE AS f, ((d * 5 + lag) % 7) / 2.0::DOUBLE AS r, CASE (d + lag) % 6 WHEN 0 THEN 'network_protected' WHEN 1 THEN 'excluded_spatial_outlier' ELSE 'included' END AS status FROM {P} WHERE lag <= 3)"
 _DT = f"(SELECT pair, (d * lag) % 4 <> 1 AS accepted FROM {P} WHERE (d + 2 * lag) % 5 <> 0)"
 _Q = f"""(SELECT pair, CASE WHEN NOT coalesce(accepted, true) OR starts_with(coalesce(status, ''), 'excluded') THEN 3 WHEN status = 'network_protected' THEN 2 ELSE 0 END AS tier,
@@ -439,15 +421,6 @@ def spatial_quality(spark, d):
     return network.spatial_quality(pixels, "smooth").select("image", F.round("fraction", 6).alias("fraction"), F.round("range_cycles", 6).alias("range_cycles"))
 
 
-@query()
-def qc_exclusion(spark, d):
-    pixels = stats.with_group_value(stack(spark, d), ["image"], F.median("phase"), "smooth")
-    got = {r["image"]: (r["fraction"], r["range_cycles"]) for r in network.spatial_quality(pixels, "smooth").collect()}
-    images = sorted(got)
-    status = network.safe_exclusion([(k // 10, k % 10) for k in images], [got[k] for k in images])
-    return spark.createDataFrame([(k, *map(float, got[k]), s) for k, s in zip(images, status)], "image int, fraction double, range_cycles double, status string")
-
-
 @query("SELECT e.vec_id::BIGINT AS image, 64::BIGINT AS pixels, 64::BIGINT AS congruent FROM embeddings e")
 def unwrap_congruence(spark, d):
     """Unwrapping adds whole cycles and reaches every pixel."""
@@ -457,12 +430,6 @@ def unwrap_congruence(spark, d):
     return done.groupBy("image").agg(F.count("unwrapped").alias("pixels"), F.count_if(off).alias("congruent"))
 
 
-@query()
-def unwrap_reports(spark, d):
-    pixels = tiles(spark, d).withColumn("phase", fx.wrap(F.col("phase"))).withColumn("coh", F.lit(0.5) + F.col("row") / 20)
-    return unwrapping.unwrap_reports(pixels, longest=6.0)
-
-
 def _complex(spark, d) -> DataFrame:
     p = hollow(tiles(spark, d))
     size = F.lit(1.0) + F.col("row")
@@ -618,14 +585,6 @@ def unit_phasors(spark, d):
     return _complex(spark, d).select("image", "row", "col", r6(re).alias("re"), r6(im).alias("im"))
 
 
-@query()
-def repaired_regions(spark, d):
-    """Cycles that the region repair adds to blown-up tiles with a raised block."""
-    p = tiles(spark, d).where("row < 8")
-    wide = p.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(35)))).select("image", (F.col("row") * 6 + F.floor(F.col("k") / 6)).cast("int").alias("row"), (F.col("col") * 6 + F.col("k") % 6).cast("int").alias("col"), (F.col("phase") / 200 + F.when(F.col("row").between(2, 4) & F.col("col").between(2, 4), fx.TWO_PI).otherwise(0.0)).alias("phase"))
-    return rasters.per_image(wide, ["phase"], lambda a: dict(zip(("fixed", "cycles"), region_repair.repair_regions(a["phase"])[:2])), "fixed double, cycles short").groupBy("image").agg(F.count_if(F.col("cycles") == -1).alias("lowered"))
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Velocities of the epochs' stack: scan, self-join, grouped inversion."""
     return sbas_velocity(spark, sf_dir)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.phase import pair_text
-from ..operators import detrending, inversion, network, points, region_repair, stats
+from ..operators import detrending, inversion, masks, network, points, region_repair, stats
 from ..operators.closure import repair_closure_stack
 from ..operators.filtering import hybrid
 from ..operators.images import smooth_valid
@@ -42,6 +42,9 @@ class PipelineSettings:
     most_cycles: float = 2.0
     stable_percentile: float = 40.0
     detrend: detrending.DetrendSettings = detrending.DetrendSettings()
+    fit_edge_guard: int = 0
+    output_edge_guard: int = 0
+    border_fraction: float = 0.0
     reference_window: int = 5
     reference_count: int = 5
     most_days: int = 12
@@ -79,8 +82,7 @@ def unwrap_stage(pixels: DataFrame, water: DataFrame | None = None, s: PipelineS
     Every image is one task: unwrapping, then the repairs of plateaus, regions and strips.
     """
     if water is not None:
-        wet = water.where("water").select("row", "col", F.lit(True).alias("wet__"))
-        pixels = pixels.join(wet, ["row", "col"], "left").withColumns({c: F.when(F.col("wet__").isNull(), F.col(c)) for c in ("phase", "coh")}).drop("wet__")
+        pixels = masks.mask_water(pixels, water, ["phase", "coh"])
 
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         a = image_array(frame, ["phase", "coh"])
@@ -122,23 +124,61 @@ def quality_stage(unwrapped: DataFrame, s: PipelineSettings = PipelineSettings()
     return kept, report.withColumn("pair", pair_text(F.col("first"), F.col("second")))
 
 
-def detrend_stage(pixels: DataFrame, shape: tuple[int, int], elevation: DataFrame | None = None, exclude: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> tuple[DataFrame, DataFrame]:
-    """Detrends one dataset's images over its stable pixels and zeroes them at the reference; pixels and reports."""
+def _on(df: DataFrame) -> list[str]:
+    """Columns by which a table of pixels, of one dataset or of several, joins others."""
+    return [c for c in ("dataset", "row", "col") if c in df.columns]
+
+
+def fit_pixels(image: DataFrame, shape: tuple[int, int], exclude: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> DataFrame:
+    """(dataset, row, col, valid_fraction, temporal_mad, stable, exclude): stable pixels off the edge guard and, if
+    asked for, in the border only; ``exclude`` where deformation was found."""
+    row, col = F.col("row"), F.col("col")
+    pixel = stats.stable_pixels(image, percentile=s.stable_percentile, by=("dataset",))
+    if s.fit_edge_guard > 0:
+        pixel = pixel.withColumn("stable", F.col("stable") & ~masks.edge_guard(row, col, *shape, s.fit_edge_guard))
+    if s.border_fraction > 0:
+        pixel = pixel.withColumn("stable", F.col("stable") & masks.border_fit(row, col, *shape, s.border_fraction))
+    if exclude is None:
+        return pixel.withColumn("exclude", F.lit(False))
+    moving = exclude.where("moving").select(*_on(exclude), F.lit(True).alias("exclude"))
+    return pixel.join(moving, _on(exclude), "left").withColumn("exclude", F.coalesce("exclude", F.lit(False)))
+
+
+def reference_stage(image: DataFrame, pixel: DataFrame, shape: tuple[int, int], region: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> DataFrame:
+    """Reference pixels of each dataset, inside the region's pixels (row, col, inside) if there is one."""
+    candidate = pixel.withColumn("stable", F.col("stable") & ~F.col("exclude"))
+    if region is not None:
+        inside = region.where("inside").select(*_on(region), F.lit(True).alias("in__"))
+        candidate = candidate.join(inside, _on(region), "left").withColumn("stable", F.col("stable") & F.col("in__").isNotNull()).drop("in__")
+    coherent = candidate.join(stats.mean_coherence(image, ("dataset",)), ["dataset", "row", "col"])
+    return detrending.reference_pixels(coherent, shape, s.reference_window, s.reference_count, ("dataset",))
+
+
+def detrend_stage(pixels: DataFrame, shape: tuple[int, int], elevation: DataFrame | None = None, exclude: DataFrame | None = None, s: PipelineSettings = PipelineSettings(), region: DataFrame | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Detrends the images of all datasets over their stable pixels and zeroes them at the reference; pixels (with
+    ``surface``, what was taken off, offset included) and reports.
+
+    The stable pixels are found before the output's edge guard is masked.  Every image is fitted once; with a
+    ``folder`` the fitted images are written there, for both results to be read from.
+    """
     image = pixels.withColumn("image", F.concat_ws("|", *(F.col(k).cast("string") for k in KEYS)))
-    pixel = stats.stable_pixels(image, percentile=s.stable_percentile)
-    if exclude is not None:
-        pixel = pixel.join(exclude.where("moving").select("row", "col", F.lit(True).alias("out__")), ["row", "col"], "left").withColumn("stable", F.col("stable") & F.col("out__").isNull()).drop("out__")
-    coherent = pixel.join(stats.mean_coherence(image), ["row", "col"])
-    reference = detrending.reference_pixels(coherent, shape, s.reference_window, s.reference_count)
-    ready = image.join(pixel.select("row", "col", F.col("stable").cast("double").alias("fit")), ["row", "col"])
+    pixel = fit_pixels(image, shape, exclude, s)
+    outer = masks.edge_guard(F.col("row"), F.col("col"), *shape, s.output_edge_guard) if s.output_edge_guard > 0 else F.lit(False)
+    image = image.withColumn("phase", F.when(~outer, F.col("phase")))
+    reference = reference_stage(image, pixel, shape, region, s)
+    ready = image.join(pixel.select("dataset", "row", "col", F.col("stable").cast("double").alias("fit"), F.col("exclude").cast("double").alias("exclude")), ["dataset", "row", "col"])
     if elevation is not None:
-        ready = ready.join(elevation.select("row", "col", "elev"), ["row", "col"], "left")
-    columns = [c for c in ("image", "row", "col", "phase", "elev", "fit") if c in ready.columns]
-    flat = detrending.detrend(ready.select(*columns), s.detrend).select("image", "row", "col", F.col("detrended").alias("phase"))
-    zeroed = detrending.zero_to_reference(flat, reference)
-    reports = detrending.detrend_reports(ready.select(*columns), s.detrend)
+        ready = ready.join(elevation.select(*_on(elevation), "elev"), _on(elevation), "left")
+    flat = detrending.detrend_with_reports(ready.select(*(c for c in ("image", "row", "col", "phase", "elev", "fit", "exclude") if c in ready.columns)), s.detrend)
+    if folder:
+        flat.write.mode("overwrite").parquet(f"{folder}/fitted")
+        flat = pixels.sparkSession.read.parquet(f"{folder}/fitted")
     names = image.select("image", *KEYS).distinct()
-    return zeroed.join(names, "image").select(*KEYS, "row", "col", "phase"), reports.join(names, "image").drop("image").withColumn("pair", pair_text(F.col("first"), F.col("second")))
+    fitted = flat.drop("report").withColumnRenamed("detrended", "phase").join(F.broadcast(names), "image")
+    zeroed = detrending.zero_to_reference(fitted, reference, by=("dataset",)).withColumn("surface", F.col("surface") + F.col("reference_offset"))
+    reports = flat.where("report IS NOT NULL").select("image", "report.*").join(names, "image")
+    offsets = zeroed.groupBy("image").agg(F.max("reference_offset").alias("reference_offset_rad"))
+    return zeroed.select(*KEYS, "row", "col", "phase", "surface"), reports.join(offsets, "image").drop("image").withColumn("pair", pair_text(F.col("first"), F.col("second")))
 
 
 def timeseries_stage(pixels: DataFrame, quality: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> tuple[DataFrame, list[network.Edge], list[date]]:
@@ -159,7 +199,7 @@ def run_summary(edges: list[network.Edge], dates: list[date], s: PipelineSetting
     return {"dates": [d.isoformat() for d in dates], "edges": [asdict(e) for e in edges], "redundant_cycles": network.redundancy(edges), "danger_bridges": len(network.danger_bridges(edges)), "settings": asdict(s)}
 
 
-def run_pipeline(pixels: DataFrame, shape: tuple[int, int], folder: str, water: DataFrame | None = None, elevation: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> dict:
+def run_pipeline(pixels: DataFrame, shape: tuple[int, int], folder: str, water: DataFrame | None = None, elevation: DataFrame | None = None, s: PipelineSettings = PipelineSettings(), region: DataFrame | None = None) -> dict:
     """All stages for one dataset of complex pixels (KEYS, row, col, re, im, coh); tables are written under ``folder``.
 
     A preliminary inversion of the unwrapped stack marks deformation, which the detrending then leaves out.
@@ -174,7 +214,7 @@ def run_pipeline(pixels: DataFrame, shape: tuple[int, int], folder: str, water:
     first, _, _ = timeseries_stage(kept, None, s)
     moving = points.deformation_mask(first.select("row", "col", "velocity"), s.mask_percentile, s.mask_least, s.mask_min_pixels, s.mask_radius)
     moving.write.mode("overwrite").parquet(f"{folder}/moving")
-    flat, reports = detrend_stage(kept, shape, elevation, spark.read.parquet(f"{folder}/moving"), s)
+    flat, reports = detrend_stage(kept, shape, elevation, spark.read.parquet(f"{folder}/moving"), s, region, folder)
     flat.write.mode("overwrite").parquet(f"{folder}/detrended")
     reports.write.mode("overwrite").parquet(f"{folder}/detrending")
     quality = network.edge_quality(qc, spark.read.parquet(f"{folder}/detrending").select("pair", "accepted"))

@@ -81,6 +81,11 @@ def read_pair_report(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.join(last, ["pair", "at__"], "left_semi").drop("at__")
 
 
+def write_report(rows: DataFrame, path: str, overwrite: bool = False) -> None:
+    """A report as one CSV file with a header, in its own folder; one that is there is only replaced if asked for."""
+    rows.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True)
+
+
 def point_features(points: DataFrame) -> DataFrame:
     """GeoJSON features of (id, longitude, latitude, velocity)."""
     geometry = F.struct(F.lit("Point").alias("type"), F.array("longitude", "latitude").alias("coordinates"))
