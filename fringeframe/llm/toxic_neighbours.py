@@ -42,7 +42,7 @@ class NeighbourSettings:
     entries: int = 1 << 21
     k: int = 25
     block: int = 64
-    dense: float = 1 / 64
+    dense: float = 1 / 32
     sure: float = 0.7
 
 
@@ -192,13 +192,14 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class NeighbourModel:
-    """Vocabulary, term weights, index and calibration; as large as the bounds of its settings."""
+    """Vocabulary, term weights, index and calibration; as large as the bounds of its settings.  The index is sent
+    as the examples' entries and built again by every worker."""
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, count: np.ndarray, label: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray, prior: float, settings: NeighbourSettings):
         self.vocabulary, self.label, self.settings, self.prior = vocabulary, label, settings, prior
+        self.entries = tuple(x.astype(np.int32) for x in (doc, term, count))
         self.term_weight = idf * (1 + label_contrast(doc, term, label, len(vocabulary)))
-        weight = unit_weights(doc, term, count, self.term_weight, len(label))
-        self.index = BlockMaxIndex(doc, term, weight, len(label), len(vocabulary), settings.block, settings.dense)
+        weight = self._build()
         self.knots, self.values = np.zeros(1), np.full(1, prior)
         if len(label):
             # Calibrated on the examples, each left out of its own neighbours, weighted back to the labels' prior.
@@ -207,6 +208,19 @@ class NeighbourModel:
             balance = np.where(label == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
             self.knots, self.values = isotonic(votes(cosine, who, label), label.astype(float), balance)
 
+    def _build(self) -> np.ndarray:
+        doc, term, count = (x.astype(np.int64) for x in self.entries)
+        weight = unit_weights(doc, term, count, self.term_weight, len(self.label))
+        self.index = BlockMaxIndex(doc, term, weight, len(self.label), len(self.vocabulary), self.settings.block, self.settings.dense)
+        return weight
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._build()
+
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated scores, cosines and example numbers."""
         docs = len(offsets) - 1
