@@ -21,6 +21,7 @@ from ..operators.filtering import hybrid
 from ..operators.images import smooth_valid
 from ..operators.rasters import image_array, nullable
 from ..operators.unwrapping import unwrap_image
+from ..sources.vector import write_report
 
 KEYS = ["dataset", "first", "second"]
 
@@ -199,25 +200,38 @@ def run_summary(edges: list[network.Edge], dates: list[date], s: PipelineSetting
     return {"dates": [d.isoformat() for d in dates], "edges": [asdict(e) for e in edges], "redundant_cycles": network.redundancy(edges), "danger_bridges": len(network.danger_bridges(edges)), "settings": asdict(s)}
 
 
-def run_pipeline(pixels: DataFrame, shape: tuple[int, int], folder: str, water: DataFrame | None = None, elevation: DataFrame | None = None, s: PipelineSettings = PipelineSettings(), region: DataFrame | None = None) -> dict:
-    """All stages for one dataset of complex pixels (KEYS, row, col, re, im, coh); tables are written under ``folder``.
+def run_pipeline(pixels: DataFrame, shape: tuple[int, int], folder: str, water: DataFrame | None = None, elevation: DataFrame | None = None, s: PipelineSettings = PipelineSettings(), region: DataFrame | None = None, skip: frozenset[str] = frozenset()) -> dict:
+    """All stages for one dataset of complex pixels (KEYS, row, col, re, im, coh); tables are written under ``folder``,
+    their reports as CSV beside them.
 
     A preliminary inversion of the unwrapped stack marks deformation, which the detrending then leaves out.
+    ``skip``: "filtering" takes the pixels as they are, "unwrapping" and "detrending" take the tables of an earlier
+    run, "mask" marks no deformation, "timeseries" ends before the inversion.
     """
     spark = pixels.sparkSession
-    filtered = filter_stage(pixels, s).withColumn("phase", F.when(F.hypot("re", "im") > 0, F.atan2("im", "re")))
-    unwrap_stage(filtered, water, s).write.mode("overwrite").parquet(f"{folder}/unwrapped")
-    kept, qc = quality_stage(spark.read.parquet(f"{folder}/unwrapped"), s)
-    kept.write.mode("overwrite").parquet(f"{folder}/repaired")
-    qc.write.mode("overwrite").parquet(f"{folder}/quality")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    if "unwrapping" not in skip:
+        filtered = pixels if "filtering" in skip else stored(filter_stage(pixels, s), "filtered")
+        filtered = filtered.withColumn("phase", F.when(F.hypot("re", "im") > 0, F.atan2("im", "re")))
+        kept, qc = quality_stage(stored(unwrap_stage(filtered, water, s), "unwrapped"), s)
+        stored(kept, "repaired")
+        write_report(stored(qc, "quality").drop("included"), f"{folder}/quality_csv", overwrite=True)
     kept, qc = spark.read.parquet(f"{folder}/repaired"), spark.read.parquet(f"{folder}/quality")
-    first, _, _ = timeseries_stage(kept, None, s)
-    moving = points.deformation_mask(first.select("row", "col", "velocity"), s.mask_percentile, s.mask_least, s.mask_min_pixels, s.mask_radius)
-    moving.write.mode("overwrite").parquet(f"{folder}/moving")
-    flat, reports = detrend_stage(kept, shape, elevation, spark.read.parquet(f"{folder}/moving"), s, region, folder)
-    flat.write.mode("overwrite").parquet(f"{folder}/detrended")
-    reports.write.mode("overwrite").parquet(f"{folder}/detrending")
+    moving = None
+    if "mask" not in skip:
+        first, _, _ = timeseries_stage(kept, None, s)
+        moving = stored(points.deformation_mask(first.select("row", "col", "velocity"), s.mask_percentile, s.mask_least, s.mask_min_pixels, s.mask_radius), "moving")
+    if "detrending" not in skip:
+        flat, reports = detrend_stage(kept, shape, elevation, moving, s, region, folder)
+        stored(flat, "detrended")
+        write_report(stored(reports, "detrending"), f"{folder}/detrending_csv", overwrite=True)
+    if "timeseries" in skip:
+        return run_summary([], [], s)
     quality = network.edge_quality(qc, spark.read.parquet(f"{folder}/detrending").select("pair", "accepted"))
     series, edges, dates = timeseries_stage(spark.read.parquet(f"{folder}/detrended"), quality, s)
-    series.write.mode("overwrite").parquet(f"{folder}/series")
+    stored(series, "series")
     return run_summary(edges, dates, s)

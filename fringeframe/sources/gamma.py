@@ -170,6 +170,15 @@ def read_window(path: str, kind: str, width: int = 0, rows: tuple[int, int] = (1
     return np.array(a[max(rows[0], 1) - 1 : rows[1] or None, max(cols[0], 1) - 1 : cols[1] or None])
 
 
+def write_window(source: str, target: str, kind: str, width: int, rows: tuple[int, int], cols: tuple[int, int]) -> tuple[int, int]:
+    """Copies a window of one raster, end-exclusive and from 0, in the same format; its (lines, width)."""
+    part = read_window(source, kind, width, (rows[0] + 1, rows[1]), (cols[0] + 1, cols[1]))
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    part.tofile(f"{target}.part")
+    os.replace(f"{target}.part", target)
+    return part.shape
+
+
 def write_rasters(pixels: DataFrame, folder: str, name: str, kind: str = "float32") -> DataFrame:
     """Writes one big-endian raster per image of a dense table into a shared folder; (image, path, bytes).
 
