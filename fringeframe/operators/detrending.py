@@ -307,9 +307,10 @@ def _kind(f) -> str:
 _REPORT = ", ".join(f"{f.name} {_kind(f)}" for f in fields(DetrendReport)) + ", status string"
 
 
-def detrend_with_reports(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
+def detrend_with_reports(pixels: DataFrame, settings: DetrendSettings = DetrendSettings(), layers: bool = False) -> DataFrame:
     """Detrends each image of (image, row, col, phase, elev[, fit, exclude]): adds ``detrended``, ``surface``, and
-    on one row an image its ``report``.
+    on one row an image its ``report``.  With ``layers`` the parts come along: ``orbit``, ``terrain``, ``turbulent``
+    (what lies left after ``surface`` and is smooth), and whether a pixel was ``fitted``.
 
     An image that cannot be fitted (too few pixels, a flat elevation) stays, with null results and the reason as
     its report's ``status``, which is "ok" otherwise.
@@ -320,18 +321,22 @@ def detrend_with_reports(pixels: DataFrame, settings: DetrendSettings = DetrendS
         given = [c for c in ("phase", "elev", "fit", "exclude") if c in frame.columns]
         a = image_array(frame, given)
         try:
-            out, surface, _, report, _ = detrend_image(a["phase"], a.get("elev"), a["fit"] == 1 if "fit" in a else None, a["exclude"] == 1 if "exclude" in a else None, settings)
+            out, surface, final, report, part = detrend_image(a["phase"], a.get("elev"), a["fit"] == 1 if "fit" in a else None, a["exclude"] == 1 if "exclude" in a else None, settings)
             report = {k: None if isinstance(v, float) and np.isnan(v) else v for k, v in asdict(report).items()} | {"status": "ok"}
         except ValueError as e:
             out = surface = np.full(a["phase"].shape, np.nan)
+            final, part = np.zeros(out.shape, bool), dict.fromkeys(("orbit", "terrain", "turbulent"), out)
             report = dict.fromkeys(names) | {"accepted": False, "orbit_accepted": False, "terrain_accepted": False, "valid_pixels": int(np.isfinite(a["phase"]).sum()), "status": str(e)}
         at = (frame["row"].to_numpy(int), frame["col"].to_numpy(int))
         cols = {n: nullable(x[at]) for n, x in (("detrended", out), ("surface", surface))}
+        if layers:
+            cols |= {n: nullable(part[n][at]) for n in ("orbit", "terrain", "turbulent")} | {"fitted": final[at]}
         return pd.DataFrame({"image": key[0], "row": frame["row"], "col": frame["col"]} | cols | {"report": [report] + [None] * (len(frame) - 1)})
 
     kind = pixels.schema["image"].dataType.simpleString()
     report = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in _REPORT.split(", "))
-    return pixels.groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, detrended double, surface double, report struct<{report}>")
+    more = "orbit double, terrain double, turbulent double, fitted boolean, " if layers else ""
+    return pixels.groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, detrended double, surface double, {more}report struct<{report}>")
 
 
 def detrend(pixels: DataFrame, settings: DetrendSettings = DetrendSettings()) -> DataFrame:
@@ -362,7 +367,7 @@ def reference_pixels(pixel: DataFrame, shape: tuple[int, int], window: int = 5,
         near = near.withColumn("near", F.sum(F.col("near") if "near" in near.columns else F.col("stable").cast("int")).over(w))
     candidates = near.where(F.coalesce(ok, F.lit(False))).withColumn("all__", F.lit(0))
     group = ["all__", *by]
-    candidates = candidates.join(F.broadcast(candidates.groupBy(*group).agg(F.percentile("temporal_mad", F.lit(0.95)).alias("scale__"), F.count(F.lit(1)).alias("n__"))), group)
+    candidates = candidates.join(candidates.groupBy(*group).agg(F.percentile("temporal_mad", F.lit(0.95)).alias("scale__"), F.count(F.lit(1)).alias("n__")), group)
     part = F.col("temporal_mad") / F.when(F.col("scale__") > 0, F.col("scale__")).otherwise(1.0)
     candidates = candidates.where("n__ >= 5").withColumn("score", F.col("mean_coherence") - F.lit(0.25) * part if coherent else -part)
     # Only the best of each task reach the ranking.

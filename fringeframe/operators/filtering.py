@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import images
-from .rasters import per_image
+from .rasters import image_array, nullable, per_image
 
 
 def nonlocal_mean(z: np.ndarray, coherence: np.ndarray, search: int = 7, patch: int = 3, bandwidth: float = 0.70, spread: float = 3.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,18 +61,49 @@ def hybrid(z: np.ndarray, coherence: np.ndarray, search: int = 7, patch: int = 3
     return goldstein(mean, coherence, strength), concentration, support
 
 
+def nonlocal_strips(pixels: DataFrame, keys: tuple[str, ...] = ("image",), search: int = 7, patch: int = 3, bandwidth: float = 0.70, rows: int = 128) -> DataFrame:
+    """The non-local mean of every image of (keys, row, col, re, im, coh): (keys, row, col, re, im, coh, concentration,
+    support).  A task is a strip of ``rows`` rows with the margin it needs, so large scenes spread over many."""
+    margin = search + patch
+    first, last = (F.floor((F.col("row") + x) / rows).cast("int") for x in (-margin, margin))
+    dealt = pixels.select(*keys, "row", "col", "re", "im", "coh", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)).alias("strip"))
+
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        first = key[-1] * rows
+        top = max(0, first - margin)
+        mine = frame["row"].between(first, first + rows - 1)
+        if not mine.any():
+            return frame.iloc[:0].assign(concentration=pd.array([], "Float64"), support=pd.array([], "Float64"))[names]
+        a = image_array(frame.assign(row=frame["row"] - top), ["re", "im", "coh"])
+        z, concentration, support = nonlocal_mean(a["re"] + 1j * a["im"], a["coh"], search, patch, bandwidth)
+        out = frame.loc[mine, [*keys, "row", "col", "coh"]].copy()
+        spot = (out["row"].to_numpy(int) - top, out["col"].to_numpy(int))
+        for n, v in (("re", z.real), ("im", z.imag), ("concentration", concentration), ("support", support)):
+            out[n] = nullable(v[spot])
+        return out[names]
+
+    names = [*keys, "row", "col", "re", "im", "coh", "concentration", "support"]
+    kinds = ", ".join(f"{k} {pixels.schema[k].dataType.simpleString()}" for k in keys)
+    return dealt.groupBy(*keys, "strip").applyInPandas(run, f"{kinds}, row int, col int, re double, im double, coh double, concentration double, support double")
+
+
 def filter_phase(pixels: DataFrame, method: str = "hybrid", **settings) -> DataFrame:
     """Filters every image of (image, row, col, re, im, coh): (image, row, col, re, im, concentration, support).
 
-    Stages that follow take ``concentration`` as the filtered image's coherence.
+    The non-local mean runs in strips, the spectral part, which sees whole images, one task an image.  Stages
+    that follow take ``concentration`` as the filtered image's coherence.
     """
+    if method not in ("nonlocal", "goldstein", "hybrid"):
+        raise ValueError(f"unknown filter: {method}")
+    strength = {k: settings.pop(k) for k in ("strength",) if k in settings}
+    mean = pixels.select("image", "row", "col", "re", "im", "coh").withColumns({"concentration": F.lit(None).cast("double"), "support": F.lit(None).cast("double")})
+    if method != "goldstein":
+        mean = nonlocal_strips(pixels, **settings)
+    if method == "nonlocal":
+        return mean.drop("coh")
+
     def run(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        z = a["re"] + 1j * a["im"]
-        if method == "goldstein":
-            out = goldstein(np.nan_to_num(z), a["coh"], **settings)
-            concentration, support = np.full(z.shape, np.nan), np.full(z.shape, np.nan)
-        else:
-            out, concentration, support = {"nonlocal": nonlocal_mean, "hybrid": hybrid}[method](z, a["coh"], **settings)
-        return {"re": out.real, "im": out.imag, "concentration": concentration, "support": support}
-
-    return per_image(pixels, ["re", "im", "coh"], run, "re double, im double, concentration double, support double")
+        out = goldstein(np.nan_to_num(a["re"] + 1j * a["im"]), a["coh"], **strength)
+        return {"re": out.real, "im": out.imag, "concentration": a["concentration"], "support": a["support"]}
+
+    return per_image(mean, ["re", "im", "coh", "concentration", "support"], run, "re double, im double, concentration double, support double")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.phase import TWO_PI, edge_weight
+from .masks import maybe_broadcast
 
 
 class Joined:
@@ -66,7 +67,7 @@ def edge_quality(qc: DataFrame, detrending: DataFrame) -> DataFrame:
 
 def attach_quality(edges: DataFrame, quality: DataFrame) -> DataFrame:
     """Edges (pair, ...) with their quality, or defaults where there is no report."""
-    return edges.join(F.broadcast(quality), "pair", "left").withColumns({"tier": F.coalesce("tier", F.lit(0)), "weight": F.coalesce("weight", F.lit(1.0)), "qc_status": F.coalesce("qc_status", F.lit("quality_metadata_unavailable"))})
+    return edges.join(maybe_broadcast(quality), "pair", "left").withColumns({"tier": F.coalesce("tier", F.lit(0)), "weight": F.coalesce("weight", F.lit(1.0)), "qc_status": F.coalesce("qc_status", F.lit("quality_metadata_unavailable"))})
 
 
 def design_matrix(dates: list, pairs: list[tuple]) -> np.ndarray:

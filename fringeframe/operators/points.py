@@ -27,34 +27,40 @@ def point_series(series: DataFrame, velocity: DataFrame, row: float, col: float)
     return series.join(F.broadcast(at), ["row", "col"]).select("row", "col", "date", (F.col("disp") * F.lit(1000.0)).alias("mm"))
 
 
-def velocity_threshold(velocity: DataFrame, percentile: float = 85.0, least: float = 0.02) -> float:
-    got = velocity.agg(F.percentile(F.abs("velocity"), F.lit(percentile / 100))).first()[0]
-    return max(got if got is not None else least, least)
+def velocity_threshold(velocity: DataFrame, percentile: float = 85.0, least: float = 0.02) -> DataFrame:
+    """(image, limit): the percentile of each map's speeds, or ``least`` where that is more."""
+    got = velocity.groupBy("image").agg(F.percentile(F.abs("velocity"), F.lit(percentile / 100)).alias("limit"))
+    return got.withColumn("limit", F.greatest(F.coalesce("limit", F.lit(float(least))), F.lit(float(least))))
 
 
 def component_labels(pixels: DataFrame, mask: str, diagonal: bool = False) -> DataFrame:
-    """(image, row, col, label, size) of the mask's connected regions, numbered in row-major order."""
+    """(image, row, col, label, size, first_row, first_col) of the mask's connected regions, numbered in row-major
+    order of their first pixels."""
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        grid = np.zeros((int(frame["row"].max()) + 1, int(frame["col"].max()) + 1), bool)
-        grid[frame["row"], frame["col"]] = frame[mask].fillna(False).astype(bool)
+        row, col = frame["row"].to_numpy(np.int64), frame["col"].to_numpy(np.int64)
+        grid = np.zeros((int(row.max()) + 1, int(col.max()) + 1), bool)
+        grid[row, col] = frame[mask].fillna(False).astype(bool)
         label, _ = images.components(grid, diagonal)
-        size = np.bincount(label.ravel())
-        got = label[frame["row"], frame["col"]]
-        out = pd.DataFrame({"image": key[0], "row": frame["row"], "col": frame["col"], "label": got.astype("int32"), "size": size[got].astype("int64")})
+        number, first, size = np.unique(label.ravel(), return_index=True, return_counts=True)
+        got = np.searchsorted(number, label[row, col])
+        out = pd.DataFrame({"image": key[0], "row": row.astype("int32"), "col": col.astype("int32"), "label": number[got].astype("int32"), "size": size[got], "first_row": (first[got] // grid.shape[1]).astype("int32"), "first_col": (first[got] % grid.shape[1]).astype("int32")})
         return out[out["label"] > 0]
 
     kind = pixels.schema["image"].dataType.simpleString()
-    return pixels.select("image", "row", "col", mask).groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, label int, size long")
+    return pixels.select("image", "row", "col", mask).groupBy("image").applyInPandas(run, f"image {kind}, row int, col int, label int, size long, first_row int, first_col int")
 
 
 def deformation_mask(velocity: DataFrame, percentile: float = 85.0, least: float = 0.02, min_pixels: int = 80, radius: int = 6) -> DataFrame:
-    """Adds ``moving``: fast pixels in 8-connected regions of ``min_pixels``, widened by a disc, where there is a value."""
+    """Adds ``moving``: fast pixels in 8-connected regions of ``min_pixels``, widened by a disc, where there is a value.
+
+    Several maps are told apart by ``image``; without that column the table is one map.
+    """
     from .focal import dilate_disc
 
-    limit = velocity_threshold(velocity, percentile, least)
-    flat = velocity.withColumns({"image": F.lit(0), "fast": F.coalesce(F.abs("velocity") >= limit, F.lit(False))})
-    large = component_labels(flat, "fast", diagonal=True).where(F.col("size") >= min_pixels).select("row", "col", F.lit(True).alias("core"))
-    marked = flat.join(large, ["row", "col"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    flat = velocity if "image" in velocity.columns else velocity.withColumn("image", F.lit(0))
+    flat = flat.join(velocity_threshold(flat, percentile, least), "image").withColumn("fast", F.coalesce(F.abs("velocity") >= F.col("limit"), F.lit(False)))
+    large = component_labels(flat, "fast", diagonal=True).where(F.col("size") >= min_pixels).select("image", "row", "col", F.lit(True).alias("core"))
+    marked = flat.join(large, ["image", "row", "col"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
     out = dilate_disc(marked, "core", radius, "moving").withColumn("moving", F.col("moving") & F.col("velocity").isNotNull())
     return out.select(*velocity.columns, "moving")
 

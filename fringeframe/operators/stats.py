@@ -46,7 +46,7 @@ def stable_pixels(stack: DataFrame, least_fraction: float = 0.8, percentile: flo
     pixel = pixel.withColumn("temporal_mad", _array_median(F.array_sort(F.transform("x__", lambda x: F.abs(x - F.col("c__")))))).drop("x__", "c__")
     often = F.col("valid_fraction") >= least_fraction
     limit = pixel.groupBy(*by).agg(F.percentile(F.when(often, F.col("temporal_mad")), F.lit(percentile / 100)).alias("limit__"))
-    pixel = pixel.join(F.broadcast(limit), [*by]) if by else pixel.withColumn("limit__", F.lit(limit.first()["limit__"]).cast("double"))
+    pixel = pixel.join(limit, [*by]) if by else pixel.withColumn("limit__", F.lit(limit.first()["limit__"]).cast("double"))
     return pixel.withColumn("stable", F.coalesce(often & (F.col("temporal_mad") <= F.col("limit__")), F.lit(False))).drop("limit__")
 
 

@@ -153,8 +153,8 @@ def crop_dataset(spark: SparkSession, source: str, kml: str, target: str, margin
 def _grid(df: DataFrame, column: str, shape: tuple[int, int]) -> np.ndarray:
     """One image-sized column on the driver, for map products."""
     out = np.full(shape, np.nan)
-    for r in df.select("row", "col", column).where(F.col(column).isNotNull()).toLocalIterator():
-        out[r[0], r[1]] = r[2]
+    got = df.select("row", "col", F.col(column).cast("double").alias("v")).where("v IS NOT NULL").toArrow()
+    out[got["row"].to_numpy(), got["col"].to_numpy()] = got["v"].to_numpy()
     return out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import phase as fx
-from ..operators import closure, cropping, detrending, filtering, focal, inversion, masks, network, points, rasters, region_repair, stats, unwrapping
+from ..operators import closure, cropping, detrending, filtering, focal, inversion, masks, network, points, stats, unwrapping
 from .views import SIDE, day_pairs, epochs, geolocation, hollow, stack, tiles, with_elevation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,9 +37,8 @@ def _days(*names: str) -> list[Column]:
 # The views, in SQL.
 T = "(SELECT vec_id AS image, ((i - 1) // 8)::INT AS row, ((i - 1) % 8)::INT AS col, 20.0::DOUBLE * embedding[i]::DOUBLE AS phase FROM embeddings, range(1, 65) r(i))"
 H = f"(SELECT image, row, col, CASE WHEN (image * 7 + row * 3 + col) % 11 <> 0 THEN phase END AS phase FROM {T})"
-T_GEO = f"(SELECT row, col, phase AS elev FROM {T} WHERE image = 1)"
 TE = f"(SELECT a.*, b.phase AS elev FROM {T} a LEFT JOIN {T} b ON b.image = a.image + 1 AND b.row = a.row AND b.col = a.col)"
-E = "(SELECT user_id AS row, ((day(ts) - 1) // 5)::INT AS epoch, avg(value) AS m FROM events WHERE (day(ts) - 1) // 5 < 6 GROUP BY ALL)"
+E = "(SELECT user_id AS row, least((day(ts) - 1) // 5, 5)::INT AS epoch, avg(value) AS m FROM events WHERE true GROUP BY ALL)"
 S = f"(SELECT a.epoch * 10 + b.epoch AS image, (DATE '2024-01-01' + a.epoch * 12)::DATE AS first, (DATE '2024-01-01' + b.epoch * 12)::DATE AS second, a.row, b.m - a.m AS phase FROM {E} a JOIN {E} b ON a.row = b.row AND a.epoch < b.epoch)"
 DAYS = "(SELECT DISTINCT ts::DATE AS d FROM events)"
 P = f"(SELECT strftime(a.d, '%Y%m%d') || '-' || strftime(b.d, '%Y%m%d') AS pair, a.d AS first, b.d AS second, day(a.d)::INT AS d, (b.d - a.d)::INT AS lag FROM {DAYS} a JOIN {DAYS} b ON b.d - a.d BETWEEN 1 AND 4)"
@@ -277,23 +276,22 @@ q AS (SELECT image, id, min(node)::INT AS root, count(*) AS size FROM r GROUP BY
 @query(_REACH.format(T, "phase > 0", "abs(n.row - c.row) + abs(n.col - c.col) = 1") + "SELECT image, (id // 8)::INT AS row, (id % 8)::INT AS col, root, size FROM q")
 def component_labels(spark, d):
     got = points.component_labels(tiles(spark, d).withColumn("high", F.col("phase") > 0), "high")
-    root = got.groupBy("image", "label").agg(F.min(F.col("row") * 8 + F.col("col")).alias("root"))
-    return got.join(root, ["image", "label"]).select("image", "row", "col", "root", "size")
+    return got.select("image", "row", "col", (F.col("first_row") * 8 + F.col("first_col")).alias("root"), "size")
 
 
-_V = f"(SELECT image, row, col, phase / 100 AS velocity FROM {H} WHERE image = 0)"
+_V = f"(SELECT image, row, col, phase / 100 AS velocity FROM {H})"
 
 
 @query(
-    f"""WITH RECURSIVE v AS {_V}, lim AS (SELECT greatest(quantile_cont(abs(velocity), 0.6), 0.02) AS x FROM v),
-m AS (SELECT row, col, row * 8 + col AS id FROM v, lim WHERE abs(velocity) >= x),
-r(id, node) AS (SELECT id, id FROM m UNION SELECT r.id, n.id FROM r JOIN m c ON c.id = r.node JOIN m n ON greatest(abs(n.row - c.row), abs(n.col - c.col)) = 1),
-k AS (SELECT (id // 8) AS row, (id % 8) AS col FROM r GROUP BY id HAVING count(*) >= 3)
-SELECT v.row, v.col, v.velocity IS NOT NULL AND EXISTS (SELECT 1 FROM k WHERE pow(k.row - v.row, 2) + pow(k.col - v.col, 2) <= 1) AS moving FROM v"""
+    f"""WITH RECURSIVE v AS {_V}, lim AS (SELECT image, greatest(quantile_cont(abs(velocity), 0.6), 0.02) AS x FROM v GROUP BY 1),
+m AS (SELECT image, row, col, row * 8 + col AS id FROM v JOIN lim USING (image) WHERE abs(velocity) >= x),
+r(image, id, node) AS (SELECT image, id, id FROM m UNION SELECT r.image, r.id, n.id FROM r JOIN m c ON c.image = r.image AND c.id = r.node JOIN m n ON n.image = r.image AND greatest(abs(n.row - c.row), abs(n.col - c.col)) = 1),
+k AS (SELECT image, (id // 8) AS row, (id % 8) AS col FROM r GROUP BY image, id HAVING count(*) >= 3)
+SELECT v.image, v.row, v.col, v.velocity IS NOT NULL AND EXISTS (SELECT 1 FROM k WHERE k.image = v.image AND pow(k.row - v.row, 2) + pow(k.col - v.col, 2) <= 1) AS moving FROM v"""
 )
 def velocity_mask(spark, d):
-    velocity = hollow(tiles(spark, d)).where("image = 0").select("row", "col", (F.col("phase") / 100).alias("velocity"))
-    return points.deformation_mask(velocity, percentile=60.0, min_pixels=3, radius=1).select("row", "col", "moving")
+    velocity = hollow(tiles(spark, d)).select("image", "row", "col", (F.col("phase") / 100).alias("velocity"))
+    return points.deformation_mask(velocity, percentile=60.0, min_pixels=3, radius=1).select("image", "row", "col", "moving")
 
 
 # Time series: six epochs twelve days apart, all fifteen pairs.
@@ -421,13 +419,12 @@ def spatial_quality(spark, d):
     return network.spatial_quality(pixels, "smooth").select("image", F.round("fraction", 6).alias("fraction"), F.round("range_cycles", 6).alias("range_cycles"))
 
 
-@query("SELECT e.vec_id::BIGINT AS image, 64::BIGINT AS pixels, 64::BIGINT AS congruent FROM embeddings e")
+@query(f"SELECT image, row, col, round(sin(phase), 6) + 0.0 AS y, round(cos(phase), 6) + 0.0 AS x FROM {T}")
 def unwrap_congruence(spark, d):
-    """Unwrapping adds whole cycles and reaches every pixel."""
+    """Unwrapping reaches every pixel and adds whole cycles: its phase, less its cycles, points where the tile's does."""
     pixels = tiles(spark, d).withColumn("phase", fx.wrap(F.col("phase"))).withColumn("coh", F.lit(0.5) + F.col("row") / 20)
-    done = unwrapping.unwrap(pixels, longest=6.0).join(pixels, ["image", "row", "col"])
-    off = F.abs((F.col("unwrapped") - F.col("phase")) / F.lit(fx.TWO_PI) - F.col("cycles")) < 1e-9
-    return done.groupBy("image").agg(F.count("unwrapped").alias("pixels"), F.count_if(off).alias("congruent"))
+    done = unwrapping.unwrap(pixels, longest=6.0).withColumn("w", F.col("unwrapped") - F.lit(fx.TWO_PI) * F.col("cycles"))
+    return done.where(F.abs("w") <= fx.TWO_PI / 2 + 1e-9).select("image", "row", "col", r6(F.sin("w")).alias("y"), r6(F.cos("w")).alias("x"))
 
 
 def _complex(spark, d) -> DataFrame:
@@ -436,13 +433,6 @@ def _complex(spark, d) -> DataFrame:
     return p.select("image", "row", "col", F.coalesce(size * F.cos("phase"), F.lit(0.0)).alias("re"), F.coalesce(size * F.sin("phase"), F.lit(0.0)).alias("im"), ((F.col("row") + F.col("col") + 1) / 16).alias("coh"))
 
 
-@query(f"SELECT image, row, col, CASE WHEN phase IS NULL THEN 0.0 ELSE 1.0 + row END::DOUBLE AS amplitude FROM {H}")
-def nonlocal_amplitude(spark, d):
-    """The non-local filter keeps amplitudes; masked pixels stay 0."""
-    got = filtering.filter_phase(_complex(spark, d), "nonlocal", search=2, patch=1)
-    return got.select("image", "row", "col", r6(F.hypot("re", "im")).alias("amplitude"))
-
-
 @query()
 def nonlocal_filter(spark, d):
     got = filtering.filter_phase(_complex(spark, d), "nonlocal", search=2, patch=1)
@@ -460,10 +450,10 @@ def hybrid_filter(spark, d):
     return got.select("image", "row", "col", r6("re").alias("re"), r6("im").alias("im"), r6("concentration").alias("concentration"))
 
 
-@query(f"SELECT image, round(abs(sum(x * ny - nx * y)) / 2, 6) AS area FROM (SELECT image, col AS x, phase AS y, lead(col, 1, 0) OVER w AS nx, coalesce(lead(phase) OVER w, first_value(phase) OVER w) AS ny FROM {T} WHERE row = 0 WINDOW w AS (PARTITION BY image ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) GROUP BY 1")
+@query(f"SELECT image, row, round(abs(sum(x * ny - nx * y)) / 2, 6) AS area FROM (SELECT image, row, col AS x, phase AS y, lead(col, 1, 0) OVER w AS nx, coalesce(lead(phase) OVER w, first_value(phase) OVER w) AS ny FROM {T} WINDOW w AS (PARTITION BY image, row ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) GROUP BY 1, 2")
 def ring_area(spark, d):
-    ring = tiles(spark, d).where("row = 0").groupBy("image").agg(F.array_sort(F.collect_list(F.struct(F.col("col").cast("double").alias("x"), F.col("phase").alias("y")))).alias("ring"))
-    return ring.select("image", F.round(fx.shoelace(F.col("ring")), 6).alias("area"))
+    ring = tiles(spark, d).groupBy("image", "row").agg(F.array_sort(F.collect_list(F.struct(F.col("col").cast("double").alias("x"), F.col("phase").alias("y")))).alias("ring"))
+    return ring.select("image", "row", F.round(fx.shoelace(F.col("ring")), 6).alias("area"))
 
 
 _KN = f"(SELECT image, row, col, phase, CASE WHEN phase < -5 THEN 2.0 WHEN phase >= 5 THEN 3.0 WHEN phase < 0 THEN 2 + (phase + 5) / 5 * (-1 - 2) ELSE -1 + phase / 5 * (3 + 1) END AS y FROM {T})"
@@ -490,10 +480,10 @@ def line_cells(spark, d):
     return image.select("image", F.explode(cells).alias("c")).select("image", "c.y", "c.x")
 
 
-@query(f"SELECT image, row, col, CASE WHEN elev > 0 THEN round(phase, 6) + 0.0 END AS phase FROM (SELECT t.image, t.row, t.col, t.phase, g.elev FROM {T} t JOIN {T_GEO} g USING (row, col))")
+@query(f"SELECT image, row, col, CASE WHEN elev > 0 THEN round(phase, 6) + 0.0 END AS phase FROM (SELECT t.image, t.row, t.col, t.phase, g.elev FROM {T} t JOIN {_MEAN} g USING (row, col))")
 def water_applied(spark, d):
     pixels = tiles(spark, d)
-    geo = masks.water_mask(geolocation(pixels.where("image = 1").select("row", "col", F.col("phase").alias("elev"))))
+    geo = masks.water_mask(geolocation(pixels.groupBy("row", "col").agg(F.avg("phase").alias("elev"))))
     return masks.mask_water(pixels, geo, ["phase"]).select("image", "row", "col", r6("phase").alias("phase"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.phase import pair_text
 from ..operators import detrending, inversion, masks, network, points, region_repair, stats
 from ..operators.closure import repair_closure_stack
-from ..operators.filtering import hybrid
+from ..operators.filtering import goldstein, nonlocal_strips
 from ..operators.images import smooth_valid
 from ..operators.rasters import image_array, nullable
 from ..operators.unwrapping import unwrap_image
@@ -64,17 +64,18 @@ def _kinds(df: DataFrame) -> str:
 
 def filter_stage(pixels: DataFrame, s: PipelineSettings = PipelineSettings()) -> DataFrame:
     """Filters (KEYS, row, col, re, im, coh); ``coh`` becomes the phase concentration, ``raw_coh`` what it was."""
+    mean = nonlocal_strips(pixels, tuple(KEYS), s.search, s.patch, s.bandwidth)
+
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         a = image_array(frame, ["re", "im", "coh"])
-        z, concentration, _ = hybrid(a["re"] + 1j * a["im"], a["coh"], s.search, s.patch, s.bandwidth, s.goldstein_strength)
+        z = goldstein(np.nan_to_num(a["re"] + 1j * a["im"]), a["coh"], s.goldstein_strength)
         at = (frame["row"].to_numpy(int), frame["col"].to_numpy(int))
         out = frame[[*KEYS, "row", "col"]].copy()
-        for n, v in (("re", z.real), ("im", z.imag), ("coh", concentration)):
+        for n, v in (("re", z.real), ("im", z.imag)):
             out[n] = nullable(v[at])
-        out["raw_coh"] = frame["coh"].to_numpy()
-        return out
+        return out.assign(coh=frame["concentration"].to_numpy(), raw_coh=frame["coh"].to_numpy())
 
-    return pixels.select(*KEYS, "row", "col", "re", "im", "coh").groupBy(*KEYS).applyInPandas(run, f"{_kinds(pixels)}, row int, col int, re double, im double, coh double, raw_coh double")
+    return mean.drop("support").groupBy(*KEYS).applyInPandas(run, f"{_kinds(pixels)}, row int, col int, re double, im double, coh double, raw_coh double")
 
 
 def unwrap_stage(pixels: DataFrame, water: DataFrame | None = None, s: PipelineSettings = PipelineSettings()) -> DataFrame:
@@ -160,7 +161,8 @@ def detrend_stage(pixels: DataFrame, shape: tuple[int, int], elevation: DataFram
     ``surface``, what was taken off, offset included) and reports.
 
     The stable pixels are found before the output's edge guard is masked.  Every image is fitted once; with a
-    ``folder`` the fitted images are written there, for both results to be read from.
+    ``folder`` the fitted images, with the layers they were taken apart into, are written there as ``fitted``, for
+    both results to be read from.
     """
     image = pixels.withColumn("image", F.concat_ws("|", *(F.col(k).cast("string") for k in KEYS)))
     pixel = fit_pixels(image, shape, exclude, s)
@@ -170,12 +172,12 @@ def detrend_stage(pixels: DataFrame, shape: tuple[int, int], elevation: DataFram
     ready = image.join(pixel.select("dataset", "row", "col", F.col("stable").cast("double").alias("fit"), F.col("exclude").cast("double").alias("exclude")), ["dataset", "row", "col"])
     if elevation is not None:
         ready = ready.join(elevation.select(*_on(elevation), "elev"), _on(elevation), "left")
-    flat = detrending.detrend_with_reports(ready.select(*(c for c in ("image", "row", "col", "phase", "elev", "fit", "exclude") if c in ready.columns)), s.detrend)
+    flat = detrending.detrend_with_reports(ready.select(*(c for c in ("image", "row", "col", "phase", "elev", "fit", "exclude") if c in ready.columns)), s.detrend, layers=True)
     if folder:
         flat.write.mode("overwrite").parquet(f"{folder}/fitted")
         flat = pixels.sparkSession.read.parquet(f"{folder}/fitted")
     names = image.select("image", *KEYS).distinct()
-    fitted = flat.drop("report").withColumnRenamed("detrended", "phase").join(F.broadcast(names), "image")
+    fitted = flat.drop("report", "orbit", "terrain", "turbulent", "fitted").withColumnRenamed("detrended", "phase").join(names, "image")
     zeroed = detrending.zero_to_reference(fitted, reference, by=("dataset",)).withColumn("surface", F.col("surface") + F.col("reference_offset"))
     reports = flat.where("report IS NOT NULL").select("image", "report.*").join(names, "image")
     offsets = zeroed.groupBy("image").agg(F.max("reference_offset").alias("reference_offset_rad"))

@@ -35,10 +35,10 @@ def geolocation(pixels: DataFrame) -> DataFrame:
 
 
 def epochs(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
-    """(row, epoch, m): a user's mean value in each of six spans of five days."""
+    """(row, epoch, m): a user's mean value in each of six spans of five days (the last has the 31st too)."""
     e = table(spark, sf_dir, "events")
     e = e.where(F.col("event_type") == only) if only else e
-    return e.groupBy(F.col("user_id").alias("row"), F.floor((F.dayofmonth("ts") - 1) / 5).cast("int").alias("epoch")).agg(F.avg("value").alias("m")).where("epoch < 6")
+    return e.groupBy(F.col("user_id").alias("row"), F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(5)).cast("int").alias("epoch")).agg(F.avg("value").alias("m"))
 
 
 def epoch_date(epoch: Column) -> Column:

@@ -60,6 +60,22 @@ def test_nonlocal_mean_against_the_definition():
                 assert got[r, c] == 0
 
 
+def test_strips_give_the_whole_images_filter(spark):
+    rng = np.random.default_rng(4)
+    h, w = 40, 11
+    z = rng.normal(size=(h, w)) + 1j * rng.normal(size=(h, w))
+    z[rng.random((h, w)) < 0.1] = 0
+    coh = rng.random((h, w))
+    rows = [(k, r, c, float(z[r, c].real), float(z[r, c].imag), float(coh[r, c])) for k in range(2) for r in range(h) for c in range(w)]
+    pixels = spark.createDataFrame(rows, "image int, row int, col int, re double, im double, coh double")
+    want, concentration, support = filtering.nonlocal_mean(z, coh, 3, 2)
+    got = filtering.nonlocal_strips(pixels, search=3, patch=2, rows=7).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        at = r["row"], r["col"]
+        assert abs(r["re"] + 1j * r["im"] - want[at]) < 1e-9 and abs(r["concentration"] - concentration[at]) < 1e-9 and abs(r["support"] - support[at]) < 1e-9
+
+
 def test_detrend_keeps_a_blob():
     """A quadratic surface goes, a local signal on it stays."""
     y, x = np.meshgrid(np.linspace(-1, 1, 80), np.linspace(-1, 1, 90), indexing="ij")
