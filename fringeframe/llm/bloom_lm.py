@@ -9,17 +9,16 @@ and answers the probes, so no region has to fit more than its reducer's memory.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
+from .chunks import from_message, from_planes, packed, slice_edges, sorted_message, to_planes, unpacked
 from .frames import kept_columns, neutral
 from .storage import written
 
@@ -38,14 +37,6 @@ class LmSettings:
     mu: float = 500.0
 
 
-def _planes(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
-
-
-def _from_planes(body: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(4, n).T).view("<u4").ravel()
-
-
 def _transitions(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(history, word, row) of every token, the end of each row among them; a row starts from the end mark."""
     rows, n = len(first) - 1, len(ids)
@@ -103,7 +94,7 @@ def _lookups(h: np.ndarray, first: np.ndarray):
 
 def _unpacked(blob: bytes, at: int):
     """A packed chunk of rows, its texts' words as ``_lookups``, and the first word of each row."""
-    part = pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches()[0]
+    part = unpacked(blob)
     data, offsets = ts.utf8(part.column(at))
     low = ts.LOWER[data]
     starts, ends, first = ts.spans(low, offsets)
@@ -131,19 +122,7 @@ def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSet
     names, at = [f"c{i}" for i in range(len(own))], len(own)
     given = neutral(docs, own, lm_text=text, lm_train=train).withColumns({"lm_text": F.coalesce("lm_text", F.lit("")), "lm_train": F.coalesce("lm_train", F.lit(False))})
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cid = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            _, offsets = ts.utf8(batch.column(at))
-            for lo, hi in ts.chunks(offsets):
-                sink = pa.BufferOutputStream()
-                part = batch.slice(lo, hi - lo)
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_batch(part)
-                yield pa.RecordBatch.from_arrays([pa.array([cid]), pa.array([int(offsets[hi] - offsets[lo])]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["cid", "bytes", "body"])
-                cid += 1
-
-    chunks = written(given.mapInArrow(pack, "cid long, bytes long, body binary"))
+    chunks = packed(given, at)
     size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     slices = 1 << max(0, math.ceil(math.log2(max(1, size / (1 << 23)))))
     shift = np.uint64(65 - slices.bit_length())
@@ -158,18 +137,15 @@ def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSet
                     keys, back = np.unique(all_keys, return_inverse=True)
                     n = np.bincount(back, weights=learned).astype(np.int64)
                     slot = (keys >> shift).astype(np.int64) if slices > 1 else np.zeros(len(keys), np.int64)
-                    edge = np.r_[0, np.flatnonzero(np.diff(slot)) + 1, len(keys)]
-                    for a, b in zip(edge, edge[1:]):
-                        gap = np.diff(keys[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
-                        rows.append((int(slot[a]) + slices * kind, cid, int(b - a), zlib.compress(np.ascontiguousarray(gap).tobytes(), 1), _planes(n[a:b])))
+                    rows += [(s + slices * kind, cid, b - a, sorted_message(keys[a:b]), to_planes(n[a:b].astype("<u4"))) for s, a, b in slice_edges(slot)]
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[3:])], names=["slice", "cid", "n", "keys", "counts"])
 
     def answer(group: pa.Table) -> pa.Table:
         cid, number = group["cid"].to_pylist(), group["n"].to_pylist()
         slice_ = group["slice"][0].as_py()
-        keys = np.concatenate([np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(k), np.uint8).reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64) for k, n in zip(group["keys"].to_pylist(), number)])
-        counts = np.concatenate([_from_planes(c, n) for c, n in zip(group["counts"].to_pylist(), number)])
+        keys = np.concatenate([from_message(k, n) for k, n in zip(group["keys"].to_pylist(), number)])
+        counts = np.concatenate([from_planes(c, n, "<u4") for c, n in zip(group["counts"].to_pylist(), number)])
         got, back = np.unique(keys, return_inverse=True)
         total = np.bincount(back, weights=counts).astype(np.int64)
         value, types, tokens = total, 0, 0
@@ -178,7 +154,7 @@ def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSet
         else:
             value = LogFrequencyFilter(got, levels(total, settings.log_base), settings.bits_per_entry).levels(got)
         edge = np.r_[0, np.cumsum(number)]
-        bodies = [zlib.compress(value[back[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1) for a, b in zip(edge, edge[1:])]
+        bodies = [to_planes(value[back[a:b]].astype("<i8")) for a, b in zip(edge, edge[1:])]
         none = [0] * (len(cid) - 1)
         return pa.table({"cid": pa.array(cid, pa.int64()), "slice": pa.array([slice_] * len(cid), pa.int32()), "n": pa.array(number, pa.int32()), "answer": pa.array(bodies, pa.binary()), "types": pa.array([types, *none], pa.int64()), "tokens": pa.array([tokens, *none], pa.int64())})
 
@@ -192,7 +168,7 @@ def score_documents(docs: DataFrame, train: Column, settings: LmSettings = LmSet
         rows = len(first) - 1
         values: tuple[list, list] = ([], [])
         for s, n, body in sorted(zip(*(replies[c].to_pylist() for c in ("slice", "n", "answer")))):
-            values[s >= slices].append(np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(8, n).T).view("<i8").ravel())
+            values[s >= slices].append(from_planes(body, n, "<i8"))
         known, back = np.unique(word, return_inverse=True)
         count = np.concatenate(values[0])
         c, c1 = count[back], count[np.searchsorted(known, history)]

@@ -46,6 +46,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes, at its end, the intermediate tables written inside: write an operator's result before that."""
@@ -58,5 +64,4 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             if kind == "table":
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             else:
-                path = spark._jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                remove(spark, name)
