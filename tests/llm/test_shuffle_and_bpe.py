@@ -97,7 +97,7 @@ def test_round_trip_equals_the_library(spark, library):
     rows = documents() + [(1000 + i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 80))), "x", "y") for i in range(300)]
     rows += [(2000, "x<|endoftext|>Y <|startoftext|>", "", ""), (2001, "DON'T we'LL 's", "", ""), (2002, "a" * 3000, "", ""), (2003, "the " * 2000, "", "")]
     got = {}
-    for r in bpe_round_trip(frame(spark, rows), tokenizer_file(spark), cache_chunks=50).collect():
+    for r in bpe_round_trip(frame(spark, rows), tokenizer_file(spark), cache_bytes=50000).collect():
         got.setdefault((r["doc_id"], r["text"]), r)
     digests = {(r["doc_id"], r["text"]): r for r in bpe_round_trip(frame(spark, rows), tokenizer_file(spark), digests=True).collect()}
     for doc_id, text, _, _ in rows:
