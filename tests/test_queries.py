@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from fringeframe.plans.queries import ORACLE_SQL, QUERIES
+from fringeframe.plans.kernel_queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
