@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,14 @@ def neutral(df: DataFrame, own: list[str], **more: Column | str) -> DataFrame:
     wide = df.select("*", *(named(x).alias(f"x{k}") if isinstance(x, str) else x.alias(f"x{k}") for k, x in enumerate(more.values())))
     wide = wide.toDF(*(f"k{k}" for k in range(len(df.columns))), *more)
     return wide.select(*(F.col(f"k{p}").alias(f"c{i}") for i, p in enumerate(place)), *more)
+
+
+def least_hashed(df: DataFrame, n: int, seed: int, *columns: str) -> DataFrame:
+    """The ``n`` rows whose columns have the least hash, in that order; all rows if there are no more.
+
+    A count comes first, so that no task sends many more rows to be ordered than are wanted.
+    """
+    place = F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 40))
+    share = (n + 6 * math.sqrt(n) + 64) / max(1, df.count())
+    near = df.where(place < int(share * (1 << 40))) if share < 1 else df
+    return near.orderBy(place, *columns).limit(n)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan as ts
-from .frames import kept_columns, named, neutral
+from .frames import kept_columns, least_hashed, named, neutral
 from .storage import written
 
 #: Byte classes: blank, newline, lower, upper, digit, full stop and comma, ! and ?, symbols, brackets and quotes, other ASCII, beyond ASCII.
@@ -231,10 +231,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, settings: P
     own = kept_columns(docs, carry, ["score", "predicted"])
     table = _feature_table(docs.select("doc_id", named(text).alias("text")))
     trusted = labels.where(learn & (F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    picked = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.positives).collect()
+    picked = least_hashed(trusted, settings.positives, 17, "doc_id").collect()
     wanted = spark.createDataFrame([(r[0],) for r in picked], T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]))
     positive = table.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
-    unlabelled = table.select("row", "x").orderBy(F.xxhash64("row", F.lit(29)), "row").limit(settings.unlabelled).collect() if positive else []
+    unlabelled = least_hashed(table.select("row", "x"), settings.unlabelled, 29, "row").collect() if positive else []
     ranked = np.array([r["row"] for r in unlabelled[::2]], np.int64)
 
     def tail(model: PuModel, edges: np.ndarray) -> tuple[np.ndarray, int]:

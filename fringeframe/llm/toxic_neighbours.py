@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type as to_arrow
 
 from . import textscan as ts
-from .frames import kept_columns, named, neutral
+from .frames import kept_columns, least_hashed, named, neutral
 from .storage import written
 
 #: Terms are runs of letters, digits and bytes beyond ASCII; A-Z are lower-cased.
@@ -241,7 +241,7 @@ def _examples(plain: DataFrame, labels: DataFrame, settings: NeighbourSettings)
     picked = []
     for value in (0, 1):
         quota = max(half, settings.examples - size.get(1 - value, 0))
-        picked += labels.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota).collect()
+        picked += least_hashed(labels.where(F.col("toxic") == value), quota, 17, "doc_id").collect()
     kind = plain.schema["doc_id"].dataType
     wanted = plain.sparkSession.createDataFrame([(r[0], int(r[1])) for r in picked], T.StructType([T.StructField("doc_id", kind), T.StructField("toxic", T.IntegerType())]))
 
