@@ -51,3 +51,18 @@ def test_stages(spark, folder, tmp_path):
 def test_run(spark, folder):
     path, _, _ = folder
     assert corpus_pipeline.run(spark, path).count() > 200
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark, folder, tmp_path):
+    path, texts, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    clash = docs.selectExpr("*", "'x' AS row_key", "1 AS n_words", "0.5 AS score", "'y' AS component", "doc_id AS node")
+    clash.union(clash.where("doc_id = 7").withColumn("text", clash["text"])).write.parquet(f"{tmp_path}/clash")
+    docs.limit(0).write.parquet(f"{tmp_path}/none")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, spark.read.parquet(f"{tmp_path}/none"), path).collect() == [], name
+        out = stage(spark, spark.read.parquet(f"{tmp_path}/clash"), path)
+        assert k == 4 or out.columns == docs.columns, name
+        ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+        # A repeated row is a row of its own, but for the stage that drops copies, and the one that empties them.
+        assert ids.count(7) == (1 if k in (1, 2) else 2) and len(set(ids)) > 200, name
