@@ -6,6 +6,7 @@ data source reads blocks of rows with seeks, and skips rows that a filter exclud
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -91,9 +92,15 @@ def wrapped_phase(df: DataFrame) -> DataFrame:
     return df.withColumn("phase", F.when(F.hypot("re", "im") > 0, F.atan2("im", "re")))
 
 
-class _Block(InputPartition):
-    def __init__(self, path: str, first: int, end: int):
-        self.path, self.first, self.end = path, first, end
+#: Bytes of raster rows that a task of the data source reads, what opening one more file counts for, and pixels of a batch.
+_TASK_BYTES, _OPEN_BYTES, _BATCH_PIXELS = 8 << 20, 16 << 10, 1 << 16
+
+
+class _Blocks(InputPartition):
+    """Blocks of rows (file's name, first, end) of the rasters in a folder, read by one task."""
+
+    def __init__(self, folder: str, blocks: list[tuple[str, int, int]]):
+        self.folder, self.blocks = folder, blocks
 
 
 class _GammaReader(DataSourceReader):
@@ -119,21 +126,53 @@ class _GammaReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        size = self.lines * self.width * KINDS[self.kind][0].itemsize
+        """Blocks in order of files and rows; a large block is a task of its own, small ones share a task."""
+        row_bytes = self.width * KINDS[self.kind][0].itemsize
+        size = self.lines * row_bytes
         path = Path(self.path)
-        files = sorted(p for p in path.iterdir() if p.is_file()) if path.is_dir() else [path]
-        for p in files:
-            if p.stat().st_size != size:
-                raise ValueError(f"{p} has {p.stat().st_size} bytes, not {size}")
-        return [_Block(str(p), r, min(r + self.block, self.high)) for p in files for r in range(self.low, self.high, self.block)]
+        if path.is_dir():
+            folder = str(path)
+            with os.scandir(path) as entries:
+                files = sorted((e.name, e.stat().st_size) for e in entries if e.is_file())
+        else:
+            folder, files = str(path.parent), [(path.name, path.stat().st_size)]
+        tasks, room = [], 0
+        for name, found in files:
+            if found != size:
+                raise ValueError(f"{Path(folder, name)} has {found} bytes, not {size}")
+            for r in range(self.low, self.high, self.block):
+                end = min(r + self.block, self.high)
+                cost = (end - r) * row_bytes + _OPEN_BYTES * (r == self.low)
+                if not tasks or cost > room:
+                    tasks.append(_Blocks(folder, []))
+                    room = _TASK_BYTES
+                tasks[-1].blocks.append((name, r, end))
+                room -= cost
+        return tasks
 
     def read(self, partition):
         dtype = KINDS[self.kind][0]
-        with open(partition.path, "rb") as f:
-            f.seek(partition.first * self.width * dtype.itemsize)
-            a = np.fromfile(f, dtype, (partition.end - partition.first) * self.width).reshape(-1, self.width)
-        cols = _columns(a, partition.first, self.kind)
-        yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(cols["row"])), *cols.values()], names=["file", *cols])
+        waiting, pixels = [], 0
+        for name, blocks in itertools.groupby(partition.blocks, key=lambda b: b[0]):
+            path = str(Path(partition.folder, name))
+            with open(path, "rb") as f:
+                for _, first, end in blocks:
+                    f.seek(first * self.width * dtype.itemsize)
+                    waiting.append((path, first, np.fromfile(f, dtype, (end - first) * self.width).reshape(-1, self.width)))
+                    pixels += waiting[-1][2].size
+                    if pixels >= _BATCH_PIXELS:
+                        yield self._batch(waiting)
+                        waiting, pixels = [], 0
+        if waiting:
+            yield self._batch(waiting)
+
+    def _batch(self, blocks: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
+        """One batch of the pixels of several blocks (path, first row, values)."""
+        cols = _columns(np.concatenate([a for _, _, a in blocks]), 0, self.kind)
+        rows = np.concatenate([np.arange(first, first + len(a), dtype=np.int32) for _, first, a in blocks])
+        cols["row"] = pa.array(np.repeat(rows, self.width))
+        owner = pa.array(np.repeat(np.arange(len(blocks), dtype=np.int32), [a.size for _, _, a in blocks]))
+        return pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in blocks]).take(owner), *cols.values()], names=["file", *cols])
 
 
 class GammaSource(DataSource):

@@ -190,6 +190,30 @@ def test_gamma_round_trip(spark, tmp_path):
     assert gamma.discover_shape(tmp_path) == (3, 4)
 
 
+def test_gamma_reads_many_small_rasters_in_few_tasks(spark, tmp_path):
+    """A task a block would be 1,200 of them here; rows, files and gaps come out the same."""
+    n = 600
+    for k in range(n):
+        z = (np.arange(32).reshape(8, 4) + 1j * k).astype(">c8")
+        z[3, 1] = complex(np.nan, np.nan)
+        z.tofile(tmp_path / f"{k:08d}.filt")
+    spark.dataSource.register(gamma.GammaSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    df = spark.read.format("gamma").options(path=str(tmp_path), lines=8, width=4, rows=2).load().where("row >= 2 AND row < 6")
+    assert df.rdd.getNumPartitions() < 20
+    rows = df.collect()
+    assert {(r["file"], r["row"], r["col"]) for r in rows} == {(f"{tmp_path}/{k:08d}.filt", r, c) for k in range(n) for r in range(2, 6) for c in range(4)} and len(rows) == n * 16
+    for r in rows:
+        hole = (r["row"], r["col"]) == (3, 1)
+        assert (r["re"], r["im"]) == ((None, None) if hole else (float(4 * r["row"] + r["col"]), float(int(r["file"][-13:-5]))))
+
+
+def test_gamma_keeps_large_blocks_apart(tmp_path):
+    np.zeros((600, 4000), ">c8").tofile(tmp_path / "a.filt")
+    parts = gamma._GammaReader({"lines": "600", "width": "4000", "path": str(tmp_path)}).partitions()
+    assert [p.blocks for p in parts] == [[("a.filt", 0, 256)], [("a.filt", 256, 512)], [("a.filt", 512, 600)]]
+
+
 def test_geotiff_round_trip(tmp_path):
     y, x = np.indices((20, 30))
     lon, lat = -119 + 0.001 * x + 0.00005 * y, 34 - 0.001 * y
