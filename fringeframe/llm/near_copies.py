@@ -27,6 +27,10 @@ from .storage import written
 _NEIGHBOURS = 8
 #: Bytes of text a chunk, and of all chunks a slice of cells.
 _CHUNK, _SLICE = 2 << 20, 16 << 20
+#: Sets of a shingle that its other sets are compared with, those of the fewest rare shingles: copies cluster around them.
+_TYPICAL = 8
+#: 64-bit words of a set's parities, which bound from below by how many shingles two sets differ.
+_PARITIES = 4
 #: Cells a shingle.
 _WIDE = 16
 #: Sets of one shingle, as a power of two, that are put in order together; more are dealt to several groups.
@@ -67,6 +71,15 @@ def _parts(batch: pa.RecordBatch, at: int, width: int):
         yield lo, hi - lo, *shingles(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], width)
 
 
+def _parities(owner: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """(set, word): for each bit whether an odd number of the set's shingles falls on it; sets of ``owner``, in order."""
+    mixed = ts.mix(h ^ np.uint64(0xA0761D6478BD642F))
+    bit, word = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(6)) % np.uint64(_PARITIES)
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
+    words = [np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), first) if len(first) else bit for w in range(_PARITIES)]
+    return np.stack(words, axis=1).view(np.int64)
+
+
 def _digests(rows: DataFrame, width: int) -> DataFrame:
     """(row_key, d1, d2, n): a 128-bit digest of the row's set and its size."""
 
@@ -85,8 +98,8 @@ def _digests(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _active(texts: DataFrame, width: int, tenths: int) -> DataFrame:
-    """(node, n, text, tokens, places, groups) of the sets (node, text) that may have partners: the shingles by
-    which these can be found, their places in the order, and which of a frequent shingle's groups the set is in."""
+    """(node, n, text, parities, tokens, places, groups) of the sets (node, text) that may have partners: the shingles
+    by which these can be found, their places in the order, and which of a frequent shingle's groups the set is in."""
     chunks = packed(texts.select("node", "text"), 1, _CHUNK)
     size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     slices = 1 << max(0, math.ceil(math.log2(max(1, size / _SLICE))))
@@ -131,12 +144,13 @@ def _active(texts: DataFrame, width: int, tenths: int) -> DataFrame:
         edge = np.searchsorted(owner[use], np.r_[some, part.num_rows]).astype(np.int32)
         salt = ts.mix(part.column(0).to_numpy().astype(np.uint64))[owner[use]] & ((np.uint64(1) << np.maximum(level[use].astype(np.int64) - _TOGETHER, 0).astype(np.uint64)) - np.uint64(1))
         lists = [pa.ListArray.from_arrays(pa.array(edge), pa.array(x)) for x in (h[use].view(np.int64), pos[use].astype(np.int32), salt.astype(np.int32))]
-        at = pa.array(some)
-        return pa.table({"node": part.column(0).take(at), "n": pa.array(n[some].astype(np.int32)), "text": part.column(1).take(at), "tokens": lists[0], "places": lists[1], "groups": lists[2]})
+        at, mine = pa.array(some), np.isin(owner, some)
+        parities = pa.FixedSizeListArray.from_arrays(pa.array(_parities(owner[mine], h[mine]).ravel()), _PARITIES).cast(pa.list_(pa.int64()))
+        return pa.table({"node": part.column(0).take(at), "n": pa.array(n[some].astype(np.int32)), "text": part.column(1).take(at), "parities": parities, "tokens": lists[0], "places": lists[1], "groups": lists[2]})
 
     asked = chunks.select("cid", "body").mapInArrow(send, "slice int, cid long, n int, cells binary, counts binary")
     answers = written(asked.groupBy("slice").applyInArrow(answer, "cid long, slice int, n int, levels binary"))
-    chosen = chunks.select("cid", "body").groupBy("cid").cogroup(answers.groupBy("cid")).applyInArrow(choose, "node long, n int, text string, tokens array<long>, places array<int>, groups array<int>")
+    chosen = chunks.select("cid", "body").groupBy("cid").cogroup(answers.groupBy("cid")).applyInArrow(choose, "node long, n int, text string, parities array<long>, tokens array<long>, places array<int>, groups array<int>")
     return written(chosen)
 
 
@@ -184,6 +198,22 @@ def _neighbour_pairs(tokens: DataFrame, tenths: int) -> DataFrame:
     return tokens.select("node", "n", "pos", F.explode("before").alias("other")).where(can).select(F.col("node").alias("a"), F.col("other.node").alias("b"))
 
 
+def _typical_pairs(tokens: DataFrame, tenths: int) -> DataFrame:
+    """(a, b) of sets and the typical sets, of other components, of a shingle they share, that can reach the similarity."""
+    part = F.pmod(F.xxhash64("node"), F.lit(_TYPICAL))
+    typical = tokens.groupBy("token", part.alias("part")).agg(F.min(F.struct("pos", "n", "node", "root")).alias("x"))
+    typical = typical.groupBy("token").agg(F.collect_list("x").alias("typical"))
+    can = lambda x: (x["root"] != F.col("root")) & _possible(F.col("n"), F.col("pos"), x["n"], x["pos"], tenths)
+    found = tokens.join(typical, "token").select("node", F.explode(F.filter("typical", can)).alias("x"))
+    return found.select(F.col("node").alias("a"), F.col("x.node").alias("b"))
+
+
+def _close(tenths: int) -> Column:
+    """Whether the parities of two sets leave the similarity possible: sets differ by as many shingles as parities at least."""
+    apart = sum((F.bit_count(F.col("parities_a")[w].bitwiseXOR(F.col("parities_b")[w])) for w in range(_PARITIES)), F.lit(0))
+    return (10 + tenths) * apart <= (10 - tenths) * (F.col("n_a") + F.col("n_b"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """(u, v) of different nodes, the lesser first, each once."""
     return pairs.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
@@ -216,8 +246,8 @@ def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, hints: Da
     texts without words, null ones too, are copies of each other.  Shingles are 64-bit hashes.  Rows of equal
     sets are one node.  ``hints`` (row_key, other): pairs that are compared first, such as those of equal or
     close fingerprints; they decide nothing but how soon rows are joined.  Sets that share a shingle are compared
-    first with their neighbours by size, then one by one with the ends of other components, and then with the
-    sets of other components only, so that a large group of near copies makes few pairs.
+    first with their neighbours by size, then with the shingle's typical sets and one by one with the ends of other
+    components, and then with the sets of other components only, so that a large group of near copies makes few pairs.
     """
     prints = written(_digests(rows, width))
     least = written(prints.groupBy("d1", "d2", "n").agg(F.min("row_key").alias("node")))
@@ -234,22 +264,28 @@ def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, hints: Da
         a, b = node.select("row_key", F.col("node").alias("a")), node.select(F.col("row_key").alias("other"), F.col("node").alias("b"))
         pairs = pairs.union(hints.join(a, "row_key").join(b, "other").select("a", "b"))
     seen = written(_ordered(pairs))
-    links = _alike(seen, known, width, tenths)
+    roots = component_roots(_alike(seen, known, width, tenths))
     tokens = tokens.drop("before")
+    # Then all sets with the typical ones of a shingle: near copies of one text join where they are closest to it.
+    mine = _of_mixed_tokens(tokens, roots)
+    more = written(_ordered(_typical_pairs(mine, tenths)).join(seen, ["u", "v"], "left_anti"))
+    roots = _with_more_links(roots, _alike(more, known, width, tenths))
+    seen = seen.union(more)
     # Then the least and the largest set that each component has of a shingle, with those of other components.
-    roots = component_roots(links)
     mine = _of_mixed_tokens(tokens, roots)
     place = F.struct("n", "node", "pos")
     ends = mine.groupBy("token", "root").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     ends = ends.select("token", "root", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("x")).select("token", "root", "x.*")
     more = written(_ordered(_neighbour_pairs(_with_neighbours(ends, ["token"]), tenths)).join(seen, ["u", "v"], "left_anti"))
     roots = _with_more_links(roots, _alike(more, known, width, tenths))
-    # What is left are pairs of different components that share a shingle, and all of them are compared.
-    mine = _of_mixed_tokens(tokens, roots)
-    a, b = (mine.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pos", "root"))) for s in "ab")
+    seen = seen.union(more)
+    # What is left are pairs of different components that share a shingle, and all of them are compared whose
+    # parities do not rule them out.
+    mine = _of_mixed_tokens(tokens, roots).join(active.select("node", "parities"), "node")
+    a, b = (mine.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pos", "root", "parities"))) for s in "ab")
     can = _possible(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), tenths)
-    rest = a.join(b, "token").where(F.col("root_a") < F.col("root_b")).where(can)
-    rest = _ordered(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).join(seen.union(more), ["u", "v"], "left_anti")
+    rest = a.join(b, "token").where(F.col("root_a") < F.col("root_b")).where(can & _close(tenths))
+    rest = _ordered(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).join(seen, ["u", "v"], "left_anti")
     roots = _with_more_links(roots, _alike(written(rest), known, width, tenths))
     nodes = least.join(roots, "node", "left").select("d1", "d2", "n", F.coalesce("root", "node").alias("component"))
     return prints.join(nodes, ["d1", "d2", "n"]).select("row_key", "component")

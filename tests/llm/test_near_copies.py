@@ -1,8 +1,10 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from docs import documents, sentence
 
+from fringeframe.llm import near_copies
 from fringeframe.llm.near_copies import near_copy_groups, row_keys
 
 
@@ -52,6 +54,34 @@ def test_groups_match_brute_force(spark):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies of one text that is not among them, most of them too far from each other to be linked."""
+    rng = random.Random(12)
+    base = sentence(rng, 150)
+    every = [changed(rng, base, rng.choice([1, 2, 3, 3, 4])) for _ in range(400)]
+    compared, alike = [], near_copies._alike
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return alike(pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    rows = spark.createDataFrame(list(enumerate(every)), "row_key long, text string").repartition(3)
+    got = [r[1] for r in sorted(near_copy_groups(rows).collect())]
+    want = plain_groups(every)
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want)) > 5
+    assert sum(compared) < 40 * len(every)
+
+
+def test_parities_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, rng.integers(1, 250))) for _ in range(40)]
+    got = near_copies._parities(np.repeat(np.arange(40), [len(x) for x in sets]), np.concatenate(sets)).view(np.uint64)
+    apart = [(int(np.bitwise_count(got[i] ^ got[j]).sum()), len(np.setxor1d(sets[i], sets[j]))) for i in range(40) for j in range(40)]
+    assert all(p <= d and (d - p) % 2 == 0 for p, d in apart) and any(p > 60 for p, d in apart)
+
+
 def table(spark, path, rows):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(path)
     return spark.read.parquet(path)
