@@ -36,13 +36,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies: the one of the smallest doc_id, and of its rows without a doc_id the
-    first too.  SimHash fingerprints of five-word shingles, joined by vantage-point trees, say what to compare first;
-    a link is an exact Jaccard similarity of 0.8, and the pairs that fingerprints miss are found by their shingles.
-    Null and empty texts are copies of each other; rows of one doc_id are told apart by their place in the files."""
+    first too.  Two rows are near copies if their SimHash fingerprints of five-word shingles, repeats counted, differ in
+    at most 3 bits, joined by vantage-point trees, or if their sets of shingles have an exact Jaccard similarity of 0.8.
+    Texts without words are copies of each other only; rows of one doc_id are told apart by their place in the files."""
     rows = row_keys(docs.select(*COLUMNS))
-    close = simhash_groups(rows.select(F.col("row_key").alias("doc_id"), "text"), radius=3, shingle=5)
-    hints = close.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("other")).where("row_key <> other")
-    grouped = near_copy_groups(rows.select("row_key", "text"), hints=hints)
+    worded = rows.where(F.col("text").rlike(r"[^ \t-\r]"))
+    close = simhash_groups(worded.select(F.col("row_key").alias("doc_id"), "text"), radius=3, shingle=5)
+    joined = close.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("other")).where("row_key <> other")
+    grouped = near_copy_groups(rows.select("row_key", "text"), joined=joined)
     known = rows.select("row_key", "doc_id").join(grouped, "row_key")
     first = known.groupBy("component", F.col("doc_id").isNull().alias("nameless")).agg(F.min(F.struct("doc_id", "row_key")).alias("best")).select("best.row_key")
     return rows.join(first, "row_key", "left_semi").select(*COLUMNS)

@@ -219,6 +219,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
+def _of_two_components(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose nodes are not in one component yet."""
+    a, b = roots.select(F.col("node").alias("u"), F.col("root").alias("a")), roots.select(F.col("node").alias("v"), F.col("root").alias("b"))
+    return pairs.join(a, "u", "left").join(b, "v", "left").where(F.coalesce("a", "u") != F.coalesce("b", "v")).select("u", "v")
+
+
 def _with_more_links(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) of the components once more links are added: only these, between roots, are walked."""
     a, b = roots.select(F.col("node").alias("u"), F.col("root").alias("a")), roots.select(F.col("node").alias("v"), F.col("root").alias("b"))
@@ -238,16 +244,17 @@ def _of_mixed_tokens(tokens: DataFrame, roots: DataFrame) -> DataFrame:
     return written(mine.join(mixed, "token", "left_semi"))
 
 
-def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, hints: DataFrame | None = None) -> DataFrame:
+def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, joined: DataFrame | None = None) -> DataFrame:
     """(row_key, component) for every row of (row_key, text): rows share a component if links join them, and a
     link is a Jaccard similarity of at least ``tenths`` / 10 of the sets of ``width``-word shingles.
 
     Words are runs of other characters than space and \\x09-\\x0D, A-Z lower-cased; a shorter text is one shingle;
     texts without words, null ones too, are copies of each other.  Shingles are 64-bit hashes.  Rows of equal
-    sets are one node.  ``hints`` (row_key, other): pairs that are compared first, such as those of equal or
-    close fingerprints; they decide nothing but how soon rows are joined.  Sets that share a shingle are compared
-    first with their neighbours by size, then with the shingle's typical sets and one by one with the ends of other
-    components, and then with the sets of other components only, so that a large group of near copies makes few pairs.
+    sets are one node.  ``joined`` (row_key, other): links that another method has found, such as that of close
+    fingerprints; they count like those of the similarity, and what they join is not compared again.  Sets that
+    share a shingle are compared first with their neighbours by size, then with the shingle's typical sets and one
+    by one with the ends of other components, and then with the sets of other components only, so that a large
+    group of near copies makes few pairs.
     """
     prints = written(_digests(rows, width))
     least = written(prints.groupBy("d1", "d2", "n").agg(F.min("row_key").alias("node")))
@@ -258,13 +265,14 @@ def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, hints: Da
     tokens = active.select("node", "n", F.explode(zipped).alias("x")).select("node", "n", "x.token", "x.pos", "x.group")
     tokens = _with_neighbours(tokens, ["token", "group"])
     tokens = written(tokens.where("size(before) > 0 OR after IS NOT NULL OR group > 0").drop("after", "group"))
-    pairs = _neighbour_pairs(tokens, tenths)
-    if hints is not None:
+    links = rows.sparkSession.createDataFrame([], "u long, v long")
+    if joined is not None:
         node = prints.join(least, ["d1", "d2", "n"]).select("row_key", "node")
         a, b = node.select("row_key", F.col("node").alias("a")), node.select(F.col("row_key").alias("other"), F.col("node").alias("b"))
-        pairs = pairs.union(hints.join(a, "row_key").join(b, "other").select("a", "b"))
-    seen = written(_ordered(pairs))
-    roots = component_roots(_alike(seen, known, width, tenths))
+        links = _ordered(joined.join(a, "row_key").join(b, "other").select("a", "b"))
+    roots = component_roots(links)
+    seen = written(_of_two_components(_ordered(_neighbour_pairs(tokens, tenths)), roots))
+    roots = _with_more_links(roots, _alike(seen, known, width, tenths))
     tokens = tokens.drop("before")
     # Then all sets with the typical ones of a shingle: near copies of one text join where they are closest to it.
     mine = _of_mixed_tokens(tokens, roots)

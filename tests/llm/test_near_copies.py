@@ -87,6 +87,24 @@ def table(spark, path, rows):
     return spark.read.parquet(path)
 
 
+def test_stage_joins_rows_of_close_fingerprints(spark, tmp_path):
+    """Texts of one line over and over, with other ends: alike in all but some of their shingles, but not as sets."""
+    rng = random.Random(9)
+    line, other = sentence(rng, 9), sentence(rng, 120)
+    a, b = (" ".join([line] * 200 + [sentence(rng, 20)]) for _ in range(2))
+    assert 9 * len(plain_set(a) & plain_set(b)) < 4 * (len(plain_set(a)) + len(plain_set(b)))
+    docs = table(spark, f"{tmp_path}/a", [(41, a, "en", "s", 1), (42, b, "en", "s", 1), (43, b + " end", "en", "s", 1), (44, other, "en", "s", 1), (45, " \n", "en", "s", 1), (46, None, "en", "s", 1)])
+    assert sorted(r[0] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [41, 44, 45]
+
+
+def test_joined_rows_join_what_is_similar_to_either(spark):
+    rng = random.Random(10)
+    a, b, c = (sentence(rng, 80) for _ in range(3))
+    rows = spark.createDataFrame([(1, a), (2, a + " end"), (3, b), (4, b + " end"), (5, c)], "row_key long, text string")
+    joined = spark.createDataFrame([(4, 2)], "row_key long, other long")
+    assert sorted(tuple(r) for r in near_copy_groups(rows, joined=joined).collect()) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)]
+
+
 def test_stage_drops_a_copy_one_word_longer(spark, tmp_path):
     rng = random.Random(6)
     base, other = sentence(rng, 120), sentence(rng, 120)
