@@ -274,17 +274,14 @@ def near_copy_groups(rows: DataFrame, width: int = 5, tenths: int = 8, joined: D
     seen = written(_of_two_components(_ordered(_neighbour_pairs(tokens, tenths)), roots))
     roots = _with_more_links(roots, _alike(seen, known, width, tenths))
     tokens = tokens.drop("before")
-    # Then all sets with the typical ones of a shingle: near copies of one text join where they are closest to it.
-    mine = _of_mixed_tokens(tokens, roots)
-    more = written(_ordered(_typical_pairs(mine, tenths)).join(seen, ["u", "v"], "left_anti"))
-    roots = _with_more_links(roots, _alike(more, known, width, tenths))
-    seen = seen.union(more)
-    # Then the least and the largest set that each component has of a shingle, with those of other components.
+    # Then all sets with the typical ones of a shingle, as near copies of one text join where they are closest to it,
+    # and the least and the largest set that each component has of a shingle with those of other components.
     mine = _of_mixed_tokens(tokens, roots)
     place = F.struct("n", "node", "pos")
     ends = mine.groupBy("token", "root").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     ends = ends.select("token", "root", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("x")).select("token", "root", "x.*")
-    more = written(_ordered(_neighbour_pairs(_with_neighbours(ends, ["token"]), tenths)).join(seen, ["u", "v"], "left_anti"))
+    more = _typical_pairs(mine, tenths).union(_neighbour_pairs(_with_neighbours(ends, ["token"]), tenths))
+    more = written(_ordered(more).join(seen, ["u", "v"], "left_anti"))
     roots = _with_more_links(roots, _alike(more, known, width, tenths))
     seen = seen.union(more)
     # What is left are pairs of different components that share a shingle, and all of them are compared whose
