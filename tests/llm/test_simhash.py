@@ -2,9 +2,10 @@ import re
 
 import numpy as np
 import xxhash
+import pytest
 from docs import documents, frame
 
-from fringeframe.llm.components import component_roots
+from fringeframe.llm.components import component_roots, stars
 from fringeframe.llm.simhash import VantageTree, local_links, simhash_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -95,3 +96,56 @@ def test_component_roots_on_path_star_and_cycle(spark):
     got = dict(component_roots(spark.createDataFrame(path + star + cycle + [(5, 5)], "u long, v long")).collect())
     want = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 540)} | {i: 700 for i in range(700, 707)}
     assert got == want
+
+
+def random_links(seed):
+    rng = np.random.default_rng(seed)
+    path = [(i, i + 1) for i in rng.permutation(500).tolist()]
+    loose = [tuple(x) for x in rng.integers(1000, 1700, (400, 2)).tolist()]
+    hub = [(5000 - i % 2, 3000 + i) for i in range(300)]
+    far = [(-(2**63), 2**63 - 1), (7, 7)]
+    return path + loose + hub + far
+
+
+def plain_roots(links):
+    near = {}
+    for u, v in links:
+        if u != v:
+            near.setdefault(u, set()).add(v)
+            near.setdefault(v, set()).add(u)
+    root = {}
+    for node in sorted(near):
+        todo = [] if node in root else [node]
+        while todo:
+            at = todo.pop()
+            if at not in root:
+                root[at] = node
+                todo += near[at]
+    return root
+
+
+def test_stars_are_the_components():
+    for seed in range(5):
+        links = random_links(seed)
+        node, root = stars(*np.array(links, np.int64).T)
+        want = {k: v for k, v in plain_roots(links).items() if k != v}
+        assert dict(zip(node.tolist(), root.tolist())) == want and len(node) == len(want)
+
+
+@pytest.mark.parametrize("together", [16, 400, 1 << 17])
+def test_component_roots_with_few_and_many_links_at_once(spark, together):
+    links = random_links(9)
+    got = component_roots(spark.createDataFrame(links, "u long, v long").repartition(3), together).collect()
+    assert dict(got) == plain_roots(links) and len(got) == len(plain_roots(links))
+
+
+def test_few_links_take_few_jobs(spark):
+    """Each job's plans, classes and broadcasts are the driver's memory."""
+    links = spark.createDataFrame(random_links(3), "u long, v long")
+    spark.sparkContext.setJobGroup("roots", "roots")
+    try:
+        got = component_roots(links)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("roots")) <= 6
+    assert dict(got.collect()) == plain_roots(random_links(3))
