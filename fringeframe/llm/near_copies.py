@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from . import textscan as ts
 from .chunks import from_message, from_planes, packed, slice_edges, sorted_message, to_planes, unpacked
 from .components import component_roots
-from .storage import written
+from .storage import free_shuffles, written
 
 #: Neighbours by size, among the sets that share a shingle, that a set is compared with before all others.
 _NEIGHBOURS = 8
@@ -227,6 +227,7 @@ def _of_two_components(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _with_more_links(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) of the components once more links are added: only these, between roots, are walked."""
+    free_shuffles(roots.sparkSession)
     a, b = roots.select(F.col("node").alias("u"), F.col("root").alias("a")), roots.select(F.col("node").alias("v"), F.col("root").alias("b"))
     between = links.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("a", "u").alias("a"), F.coalesce("b", "v").alias("b"))
     between = written(_ordered(between))

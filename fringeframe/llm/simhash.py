@@ -154,7 +154,8 @@ def near_components(prints: DataFrame, radius: int = 2, shard_rows: int = 4096,
         return pd.DataFrame({"u": mine[pairs[:, 0]].view(np.int64), "v": mine[pairs[:, 1]].view(np.int64)})
 
     links = prints.select("fingerprint").mapInArrow(deal, "shard int, fingerprint long").groupBy("shard").applyInPandas(join, "u long, v long")
-    roots = component_roots(links)
+    # A table of their own: one Python worker a core, not one for the trees and another for the components.
+    roots = component_roots(written(links))
     linked = prints.join(roots, prints["fingerprint"] == roots["node"])
     least = linked.groupBy("root").agg(F.min("first").alias("component"))
     of = linked.select("fingerprint", "root").join(least, "root").select("fingerprint", "component")

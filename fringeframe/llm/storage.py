@@ -46,6 +46,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffles of queries that have ended: Spark removes their files, on every machine, only once the
+    driver's garbage is collected, which a driver with little to do may put off for long."""
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder, in whatever store it is."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textscan as ts
 from .frames import kept_columns, neutral
-from .storage import new_table, written
+from .storage import free_shuffles, new_table, written
 
 _CELLS_PER_SLICE = 22
 _MESSAGE = "slice int, block int, n int, body binary"
@@ -160,6 +160,7 @@ def remove_repeated_windows(docs: DataFrame, width: int = 20, text: str = "text"
     laid = held.repartitionByRange(blocks, ident).withColumn("block", F.spark_partition_id()).sortWithinPartitions(ident, body)
     laid.write.format("parquet").option("compression", "zstd").bucketBy(blocks, "block").saveAsTable(name)
     laid = spark.table(name)
+    free_shuffles(spark)
     narrow = laid.select("block", ident, body)
 
     def nulls_first(group: pa.Table) -> pa.Table:
@@ -216,7 +217,9 @@ def remove_repeated_windows(docs: DataFrame, width: int = 20, text: str = "text"
 
     cells = narrow.groupBy("block").applyInArrow(send_cells, _MESSAGE)
     repeated = written(cells.groupBy("slice").applyInArrow(_merge_cells, _ANSWER).withColumn("kind", F.lit(0)))
+    free_shuffles(spark)
     sent = narrow.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(send_digests, _MESSAGE)
     both = repeated.union(written(sent.groupBy("slice").applyInArrow(_merge_digests, _ANSWER).withColumn("kind", F.lit(1))))
+    free_shuffles(spark)
     done = laid.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(finish, out_schema)
     return done.toDF(*own, "n_words", "n_removed", kept_name)

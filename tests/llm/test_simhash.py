@@ -5,6 +5,7 @@ import xxhash
 import pytest
 from docs import documents, frame
 
+from fringeframe.llm import simhash
 from fringeframe.llm.components import component_roots, stars
 from fringeframe.llm.simhash import VantageTree, local_links, simhash_groups
 
@@ -149,3 +150,15 @@ def test_few_links_take_few_jobs(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("roots")) <= 6
     assert dict(got.collect()) == plain_roots(random_links(3))
+
+
+def test_trees_and_components_do_not_share_a_stage(spark, monkeypatch):
+    plans = []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().toString())
+        return component_roots(links)
+
+    monkeypatch.setattr(simhash, "component_roots", seen)
+    simhash_groups(frame(spark)).collect()
+    assert len(plans) == 1 and "InPandas" not in plans[0]

@@ -2,6 +2,7 @@ import re
 
 from docs import documents, frame
 
+from fringeframe.llm import window_dedup
 from fringeframe.llm.window_dedup import remove_repeated_windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -40,3 +41,10 @@ def test_sketch_of_any_width_loses_nothing(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_each_pass_lets_go_of_its_shuffles(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(window_dedup, "free_shuffles", asked.append)
+    remove_repeated_windows(frame(spark, documents()), block_bytes=9000)
+    assert len(asked) == 3
